@@ -1,8 +1,8 @@
 """All named queries."""
 
-from ridecells.catalog import scalars
+from ridecells.catalog import scalars, streams, tables
 
-PARTS = (scalars,)
+PARTS = (scalars, tables, streams)
 
 
 def all_queries():

@@ -65,10 +65,14 @@ def join_by_row_key(table, derived, key):
 def with_all_cells(weather, cells=None, most=GRID_CELLS):
     """Every weather row beside every cell, with the position of the cell.
 
-    The cells are made inside each row and flow on; nothing is moved. A table
-    of ``cells`` (column ``cell_id``, such as those seen in training)
+    The weather rows are dealt out evenly first, because each becomes 100,000
+    rows and adaptive execution, which sees only their own size, would leave
+    them in one task. The cells are then made inside each row and flow on. A
+    table of ``cells`` (column ``cell_id``, such as those seen in training)
     restricts them; a grid has 100,000 cells at most, which is checked.
     """
+    tasks = int(weather.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    weather = weather.repartition(tasks)
     if cells is None:
         crossed = weather.withColumn("cell_id", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     else:

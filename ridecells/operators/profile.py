@@ -1,7 +1,5 @@
 """Column profiles."""
 
-from functools import reduce
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,47 +10,49 @@ def nulls_per_column(df):
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
-def exact_quantiles(df, column, shares=QUARTILES, accuracy=100_000):
-    """Quantiles with linear interpolation: one row per share.
+def _long(df, columns):
+    """One row per value: ``column, v``."""
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
+    ])).alias("x")).select("x.*")
 
-    A quantile lies between two order statistics. A first pass brackets each
-    of them with a quantile sketch of known error and counts the rows; a
-    second pass counts rows below the bracket and per value inside it. Only
-    values inside a bracket are ranked, a share of about 8 / accuracy of the
-    rows and one row per different value, never the column as a whole. Below
-    ``accuracy`` rows the bracket is the whole column.
-    """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    slack = 4.0 / accuracy
-    sides = [(q, max(0.0, q - slack), min(1.0, q + slack)) for q in shares]
-    points = sorted({p for _, low, high in sides for p in (low, high)})
-    sketch = values.agg(
-        F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"),
+
+def _facts(values, points, accuracy):
+    """Moments, extremes and a quantile sketch per column; one row each."""
+    return values.groupBy("column").agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("least"), F.max("v").alias("most"),
         F.percentile_approx("v", points, accuracy).alias("points"),
     )
-    few = F.col("n") < accuracy
 
-    def low_end(p):
-        return F.when(few | F.lit(p <= 0.0), F.col("least")).otherwise(
-            F.col("points")[points.index(p)])
 
-    def high_end(p):
-        return F.when(few | F.lit(p >= 1.0), F.col("most")).otherwise(
+def _sides(shares, accuracy):
+    slack = 4.0 / accuracy
+    sides = [(q, max(0.0, q - slack), min(1.0, q + slack)) for q in shares]
+    return sides, sorted({p for _, low, high in sides for p in (low, high)})
+
+
+def _quantiles(values, facts, sides, points, accuracy):
+    few = F.col("n") < accuracy
+
+    def end(p, extreme, at_extreme):
+        return F.when(few | F.lit(at_extreme), F.col(extreme)).otherwise(
             F.col("points")[points.index(p)])
 
-    brackets = sketch.select(F.array(*[
-        F.struct(F.lit(q).alias("share"), F.col("n"), low_end(low).alias("low"),
-                 high_end(high).alias("high"))
+    brackets = facts.select("column", F.array(*[
+        F.struct(F.lit(q).alias("share"), F.col("n"), end(low, "least", low <= 0.0).alias("low"),
+                 end(high, "most", high >= 1.0).alias("high"))
         for q, low, high in sides
-    ]))
+    ]).alias("brackets")).agg(F.map_from_entries(F.collect_list(F.struct("column", "brackets"))))
     placed = (
-        values.select("v", F.explode(brackets.scalar()).alias("b")).select("v", "b.*")
-        .filter(F.col("v") <= F.col("high"))
+        values.filter(F.col("v").isNotNull())
+        .select("column", "v", F.explode(brackets.scalar()[F.col("column")]).alias("b"))
+        .select("column", "v", "b.*").filter(F.col("v") <= F.col("high"))
         .withColumn("inside", F.when(F.col("v") >= F.col("low"), F.col("v")))
     )
-    per_value = placed.groupBy("share", "n", "inside").agg(F.count("*").alias("rows"))
+    per_value = placed.groupBy("column", "share", "n", "inside").agg(F.count("*").alias("rows"))
     upto = F.sum("rows").over(
-        Window.partitionBy("share").orderBy(F.col("inside").asc_nulls_first()))
+        Window.partitionBy("column", "share").orderBy(F.col("inside").asc_nulls_first()))
     ranked = per_value.withColumn("last", upto - 1).withColumn("first", upto - F.col("rows"))
     position = F.col("share") * (F.col("n") - 1)
 
@@ -60,28 +60,41 @@ def exact_quantiles(df, column, shares=QUARTILES, accuracy=100_000):
         hit = F.col("inside").isNotNull() & (F.col("first") <= rank) & (F.col("last") >= rank)
         return F.max(F.when(hit, F.col("inside")))
 
-    return ranked.groupBy("share").agg(
+    return ranked.groupBy("column", "share").agg(
         order_statistic(F.floor(position)).alias("below"),
         order_statistic(F.ceil(position)).alias("above"),
         F.max(position - F.floor(position)).alias("part"),
-    ).select("share", (F.col("below") + (F.col("above") - F.col("below")) * F.col("part"))
-             .alias("value"))
+    ).select("column", "share",
+             (F.col("below") + (F.col("above") - F.col("below")) * F.col("part")).alias("value"))
+
+
+def exact_quantiles(df, columns, shares=QUARTILES, accuracy=100_000):
+    """Quantiles with linear interpolation: ``column, share, value``.
+
+    A quantile lies between two order statistics. A first pass brackets each
+    of them with a quantile sketch of known error and counts the rows; a
+    second pass counts rows below the bracket and per value inside it. Only
+    values inside a bracket are ranked, a share of about 8 / accuracy of the
+    rows and one row per different value, never the column as a whole. Below
+    ``accuracy`` rows the bracket is the whole column.
+    """
+    values = _long(df, columns)
+    sides, points = _sides(shares, accuracy)
+    return _quantiles(values, _facts(values, points, accuracy), sides, points, accuracy)
 
 
-def describe(df, columns):
+def describe(df, columns, accuracy=100_000):
     """Count, mean, standard deviation, extremes and exact quartiles per column."""
-    def one(column):
-        quartiles = exact_quantiles(df, column).agg(F.struct(*[
-            F.max(F.when(F.col("share") == q, F.col("value"))).alias(name)
-            for q, name in zip(QUARTILES, ("q25", "q50", "q75"))
-        ]))
-        return df.agg(
-            F.count(column).alias("count"), F.avg(column).alias("mean"),
-            F.stddev_samp(column).alias("std"),
-            F.min(column).cast("double").alias("min"), F.max(column).cast("double").alias("max"),
-        ).select(F.lit(column).alias("column"), "*", quartiles.scalar().alias("q")).select(
-            "column", "count", "mean", "std", "min", "q.*", "max")
-    return reduce(lambda a, b: a.unionByName(b), [one(c) for c in columns])
+    values = _long(df, columns)
+    sides, points = _sides(QUARTILES, accuracy)
+    facts = _facts(values, points, accuracy)
+    quartiles = _quantiles(values, facts, sides, points, accuracy).groupBy("column").agg(*[
+        F.max(F.when(F.col("share") == q, F.col("value"))).alias(name)
+        for q, name in zip(QUARTILES, ("q25", "q50", "q75"))
+    ])
+    return facts.join(quartiles, "column", "left").select(
+        "column", F.col("n").alias("count"), "mean", "std", F.col("least").alias("min"),
+        "q25", "q50", "q75", F.col("most").alias("max"))
 
 
 def histogram(df, column, bins=10):

@@ -59,7 +59,7 @@ def main(folder, names):
     from ridecells.session import build_session
 
     spark = build_session("compare", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     db, sql = connect(folder), oracle_sql()
