@@ -1,8 +1,8 @@
 """All named queries."""
 
-from ridecells.catalog import scalars, streams, tables
+from ridecells.catalog import models, scalars, streams, tables
 
-PARTS = (scalars, tables, streams)
+PARTS = (scalars, tables, streams, models)
 
 
 def all_queries():

@@ -4,15 +4,14 @@ Topics are folders of Parquet files here; on a cluster they lie below
 ``spark.checkpoint.dir``.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ridecells.catalog import sql
-from ridecells.operators import cleaning, joins
-from ridecells.operators.counts import unpack_cell
+from ridecells.operators import cleaning
 from ridecells.plans import batch
 from ridecells.plans import derived_tables as derived
 from ridecells.catalog.tables import RADIUS
-from ridecells.functions.times import hour_key, hour_start
 from ridecells.functions.numbers import clean_number
 from ridecells.schemas import (
     CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, RIDE_FILE, WEATHER_FILE, WEATHER_REPORT,
@@ -190,10 +189,10 @@ def indexed_documents(spark, folder):
 
 
 def sorted_ride_file(spark, folder):
-    """Sorted part files, with the number of rows that stand out of order.
+    """Sorted part files, with the number of files that start too early.
 
-    Rows are in order if in each file none is before its predecessor and no
-    file begins before an earlier one ends.
+    A file starts too early if its first time is before the last time of the
+    file before it. The window runs over one row per part file.
     """
     place = _Place(spark, "sorted-rides")
     write_sorted_csv(derived.ride_file(spark, folder), place.path("sorted"), " pickup_datetime")
@@ -202,11 +201,8 @@ def sorted_ride_file(spark, folder):
         F.col("_metadata.file_name").alias("file"), F.col("pickup_datetime").alias("time"),
     ).groupBy("file").agg(F.min("time").alias("first"), F.max("time").alias("last"),
                           F.count("*").alias("rows"))
-    files_before = spans.select(
-        F.col("file").alias("_file"), F.col("last").alias("_last")).alias("b")
-    apart = spans.join(files_before, F.col("_file") < F.col("file"), "left").groupBy(
-        "file", "first", "rows").agg(F.max("_last").alias("before"))
-    return apart.agg(
+    before = F.lag("last").over(Window.orderBy("file"))
+    return spans.withColumn("before", before).agg(
         F.sum("rows").alias("rows"),
         F.count_if(F.col("first") < F.col("before")).alias("out_of_order"))
 
