@@ -1,6 +1,6 @@
 """Joins of rides with weather and zip codes, and weather with all cells."""
 
-from math import asin, cos, degrees, radians, sin
+from math import asin, cos, degrees, pi, radians, sin
 
 from pyspark.sql import functions as F
 
@@ -96,20 +96,22 @@ def _squared_chord(a, b):
     return sum(((p - q) * (p - q) for p, q in zip(a[1:], b[1:])), (a[0] - b[0]) * (a[0] - b[0]))
 
 
-class _Buckets:
-    """Squares of at least the radius in both directions, around the globe.
+class _Squares:
+    """Squares around the globe, ``parts`` of them to the radius.
 
-    Points within the radius of each other are in the same or in adjacent
-    squares, so an equi-join over the nine neighbours finds all of them.
+    Points within the radius of each other are at most ``parts`` squares apart
+    in both directions, so an equi-join over that neighbourhood finds all of
+    them. ``half`` bounds the chord from the centre of a square to its points.
     """
 
-    def __init__(self, radius_miles, most_lat):
-        self.height = degrees(radius_miles / EARTH_MILES) * 1.000001
-        reach = radians(min(89.9, most_lat + self.height))
-        ratio = min(1.0, sin(radians(self.height) / 2) / cos(reach))
-        width = degrees(2 * asin(ratio)) * 1.000001
-        self.columns = max(1, int(360.0 // width))
+    def __init__(self, radius_miles, most_lat, parts):
+        self.parts = parts
+        reach = degrees(radius_miles / EARTH_MILES)
+        ratio = min(1.0, sin(radians(reach) / 2) / cos(radians(min(89.9, most_lat + reach))))
+        self.height = reach / parts * 1.000001
+        self.columns = max(1, int(360.0 // (degrees(2 * asin(ratio)) / parts * 1.000001)))
         self.width = 360.0 / self.columns
+        self.half = radians(self.height + self.width) / 2
 
     def row(self, lat):
         return F.floor(lat / self.height)
@@ -118,57 +120,88 @@ class _Buckets:
         return F.pmod(F.floor(lon / self.width), F.lit(self.columns))
 
     def neighbours(self, lat, lon):
-        rows = F.array(*[self.row(lat) + d for d in (-1, 0, 1)])
-        columns = F.array_distinct(F.array(*[
-            F.pmod(F.floor(lon / self.width) + d, F.lit(self.columns)) for d in (-1, 0, 1)]))
+        steps = F.sequence(F.lit(-self.parts), F.lit(self.parts))
+        rows = F.transform(steps, lambda d: self.row(lat) + d)
+        columns = F.array_distinct(F.transform(
+            steps, lambda d: F.pmod(F.floor(lon / self.width) + d, F.lit(self.columns))))
         return rows, columns
 
+    def center(self, row, column):
+        return (row + 0.5) * self.height, (column + 0.5) * self.width
 
-def nearest_zip(points, zips, radius_miles=1.0, lat="lat", lon="lon", most=BROADCAST_ROWS):
-    """Points with the column ``zip``: the nearest centroid within the radius.
 
-    Ties go to the smaller zip; without a centroid in reach the zip is
-    "missing". ``zips`` has ``zip, lat, lon``. Each square of the map holds
-    the centroids of its neighbourhood as one array. If a count shows that the
-    zip table is small, the arrays are broadcast and every point finds its zip
-    in place: no shuffle and no row key. Beyond that the different coordinates
-    are matched by an ordinary join and reduced by partial aggregation.
-    """
-    facts = zips.agg(F.count("*").alias("n"), F.max(F.abs("lat")).alias("lat")).first()
-    squares = _Buckets(radius_miles, facts["lat"] or 0.0)
-    reach = (2 * sin(min(radius_miles / EARTH_MILES, 3.14159) / 2)) ** 2
-    x, y, z = _unit_vector(F.col("lat"), F.col("lon"))
+def _placed(zips, squares):
+    """Centroids as unit vectors, once per square they may be in reach of."""
     rows, columns = squares.neighbours(F.col("lat"), F.col("lon"))
-    placed = (
+    x, y, z = _unit_vector(F.col("lat"), F.col("lon"))
+    return (
         zips.select("zip", x.alias("x"), y.alias("y"), z.alias("z"),
                     F.explode(rows).alias("_row"), columns.alias("_columns"))
         .withColumn("_column", F.explode("_columns")).drop("_columns")
     )
+
+
+def _rivals(placed, squares, reach):
+    """Per square, the centroids that are nearest to some point of it.
+
+    By the triangle inequality a centroid can be left out if it is further
+    from the centre of the square than the closest one by more than twice the
+    half size of the square, or out of reach by more than the half size.
+    """
+    spread = squares.half * 1.000001
+    center = _unit_vector(*squares.center(F.col("_row"), F.col("_column")))
+    off = F.sqrt(_squared_chord(center, (F.col("x"), F.col("y"), F.col("z"))))
+    return (
+        placed.withColumn("_off", off).filter(F.col("_off") <= reach + spread)
+        .groupBy("_row", "_column")
+        .agg(F.min("_off").alias("_least"),
+             F.collect_list(F.struct("_off", "x", "y", "z", "zip")).alias("_near"))
+        .select("_row", "_column", F.filter(
+            "_near", lambda c: c["_off"] <= F.col("_least") + 2 * spread).alias("_near"))
+    )
+
+
+def nearest_zip(points, zips, radius_miles=1.0, lat="lat", lon="lon", most=BROADCAST_ROWS):
+    """Points with the column ``zip``: the nearest centroid within the radius.
+
+    Ties go to the smaller zip; without a centroid in reach the zip is
+    "missing". ``zips`` has ``zip, lat, lon``. The map is cut into squares, as
+    fine as ``most`` rows allow, and each square holds the centroids that may
+    be nearest in it as an array. If a count shows that the zip table is
+    small, the squares are broadcast and every point finds its zip in place:
+    no shuffle and no row key. Beyond that the different coordinates are
+    matched by an ordinary join and reduced by partial aggregation.
+    """
+    facts = zips.agg(F.count("*").alias("n"), F.max(F.abs("lat")).alias("lat")).first()
+    fits = [p for p in (8, 4, 2, 1) if facts["n"] * (2 * p + 1) ** 2 <= most]
+    squares = _Squares(radius_miles, facts["lat"] or 0.0, fits[0] if fits else 1)
+    reach = 2 * sin(min(radius_miles / EARTH_MILES, pi) / 2)
+    placed = _placed(zips, squares)
     where = {"_row": squares.row(F.col(lat)), "_column": squares.column(F.col(lon))}
     here = _unit_vector(F.col(lat), F.col(lon))
+    columns = [c for c in points.columns if c != "zip"]
 
-    if facts["n"] * 9 <= most:
-        arrays = placed.groupBy("_row", "_column").agg(
-            F.collect_list(F.struct("x", "y", "z", "zip")).alias("_near"))
+    if fits:
         matched = (
-            points.withColumns({**where, "_x": here[0], "_y": here[1], "_z": here[2]})
-            .join(F.broadcast(arrays), ["_row", "_column"], "left")
+            points.select(*columns).withColumns(
+                {**where, "_x": here[0], "_y": here[1], "_z": here[2]})
+            .join(F.broadcast(_rivals(placed, squares, reach)), ["_row", "_column"], "left")
         )
         spot = (F.col("_x"), F.col("_y"), F.col("_z"))
         best = F.array_min(F.transform("_near", lambda c: F.struct(
             _squared_chord(spot, (c["x"], c["y"], c["z"])).alias("d"), c["zip"].alias("zip"))))
-        found = matched.withColumn("_best", best)
-        zip_code = F.when(F.col("_best.d") <= reach, F.col("_best.zip"))
-        return found.withColumn("zip", F.coalesce(zip_code, F.lit(MISSING_ZIP))).select(
-            *[c for c in points.columns if c != "zip"], "zip")
+        # Exploding the one result keeps later filters on the zip from moving
+        # below this point, where each would search again.
+        found = matched.select(*columns, F.explode(F.array(best)).alias("_best"))
+        zip_code = F.when(F.col("_best.d") <= reach ** 2, F.col("_best.zip"))
+        return found.select(*columns, F.coalesce(zip_code, F.lit(MISSING_ZIP)).alias("zip"))
 
-    spots = points.select(lat, lon).distinct().withColumns(where)
     chord = _squared_chord(here, (F.col("x"), F.col("y"), F.col("z")))
     best = (
-        spots.join(placed, ["_row", "_column"]).withColumn("_d", chord)
-        .filter(F.col("_d") <= reach).groupBy(lat, lon)
+        points.select(lat, lon).distinct().withColumns(where)
+        .join(placed, ["_row", "_column"]).withColumn("_d", chord)
+        .filter(F.col("_d") <= reach ** 2).groupBy(lat, lon)
         .agg(F.min(F.struct("_d", "zip"))["zip"].alias("zip"))
     )
-    base = points.drop("zip") if "zip" in points.columns else points
-    return base.join(best, [lat, lon], "left").withColumn(
-        "zip", F.coalesce("zip", F.lit(MISSING_ZIP)))
+    return points.select(*columns).join(best, [lat, lon], "left").select(
+        *columns, F.coalesce("zip", F.lit(MISSING_ZIP)).alias("zip"))

@@ -1,5 +1,7 @@
 """Record layouts and the fixed numbers of the grid."""
 
+import json
+
 from pyspark.sql.types import (
     DoubleType, IntegerType, LongType, MapType, StringType, StructField,
     StructType, TimestampType,
@@ -30,6 +32,9 @@ WEATHER_TIME_FORMAT = "yyyy-MM-dd HH:mm"
 
 MISSING_ZIP = "missing"
 
+# Default trigger of streaming jobs; {"processingTime": "10 seconds"} runs on.
+UNTIL_DONE = {"availableNow": True}
+
 
 def _struct(*fields):
     return StructType([StructField(name, kind, True) for name, kind in fields])
@@ -117,3 +122,10 @@ REVERSE_GEOCODE = _struct(
     ("display_name", StringType()),
     ("address", MapType(StringType(), StringType())),
 )
+
+
+def avro_schema(struct, name="record"):
+    """Avro record with the fields of a flat struct, none of them nullable."""
+    kinds = {"integer": "int", "long": "long", "double": "double", "string": "string"}
+    fields = [{"name": f.name, "type": kinds[f.dataType.typeName()]} for f in struct.fields]
+    return json.dumps({"type": "record", "name": name, "fields": fields})

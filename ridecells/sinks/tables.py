@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ridecells.operators.ordering import stable_order
-from ridecells.schemas import RIDE_TIME_FORMAT
+from ridecells.schemas import RIDE_TIME_FORMAT, UNTIL_DONE
 
 
 def write_sorted_csv(rides, path, by):
@@ -29,7 +29,8 @@ def replace_table(df, path):
     df.write.mode("overwrite").parquet(path)
 
 
-def index_documents(documents, path, *, fmt="text", options=None, checkpoint=None):
+def index_documents(documents, path, *, fmt="text", options=None, checkpoint=None,
+                    trigger=UNTIL_DONE):
     """Send JSON documents to an index or, by default, to a folder of JSON lines.
 
     ``documents`` has one text column. A stream needs a checkpoint folder and
@@ -43,5 +44,5 @@ def index_documents(documents, path, *, fmt="text", options=None, checkpoint=Non
     return (
         lines.writeStream.format(fmt).outputMode("append")
         .options(**options).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**trigger).start()
     )

@@ -4,9 +4,11 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ridecells.functions.grid import bad_coordinate
+from ridecells.functions.numbers import bytes_from_int
+from ridecells.schemas import UNTIL_DONE, avro_schema
 
 
-def keyed_records(df, key=None, encoding="json"):
+def keyed_records(df, key=None, encoding="json", key_encoding="text"):
     """Two columns, key and value; the value holds all columns of ``df``."""
     value = F.struct(*[F.col(c) for c in df.columns])
     if encoding == "json":
@@ -14,8 +16,13 @@ def keyed_records(df, key=None, encoding="json"):
     else:
         from pyspark.sql.avro.functions import to_avro
 
-        value = to_avro(value, encoding)
-    name = F.lit(None).cast("string") if key is None else F.col(key).cast("string")
+        value = to_avro(value, avro_schema(df.schema))
+    if key is None:
+        name = F.lit(None).cast("string")
+    elif key_encoding == "int32":
+        name = bytes_from_int(F.col(key))
+    else:
+        name = F.col(key).cast("string")
     return df.select(name.alias("key"), value.alias("value"))
 
 
@@ -28,19 +35,19 @@ def _target(writer, topic, fmt, options):
 
 
 def write_topic(df, topic, *, key=None, fmt="kafka", options=None, encoding="json",
-                checkpoint=None):
+                key_encoding="text", checkpoint=None, trigger=UNTIL_DONE):
     """Append the rows to a topic.
 
-    A stream runs until all input present at the start is done; it needs a
-    checkpoint folder and gives back the started query.
+    A stream needs a checkpoint folder and gives back the started query. By
+    default it stops when the input present at the start is done.
     """
-    records = keyed_records(df, key, encoding)
+    records = keyed_records(df, key, encoding, key_encoding)
     if not df.isStreaming:
         _target(records.write.mode("append"), topic, fmt, options).save()
         return None
     return (
         _target(records.writeStream.outputMode("append"), topic, fmt, options)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 

@@ -8,6 +8,9 @@ is the partition and the row index in it is the offset.
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ridecells.functions.numbers import int_from_bytes
+from ridecells.schemas import avro_schema
+
 KEY_VALUE = StructType([
     StructField("key", StringType(), True),
     StructField("value", StringType(), True),
@@ -26,27 +29,33 @@ def _open(spark, topic, fmt, options, streaming):
     return reader.options(**options).option("subscribe", topic).load()
 
 
-def _decode(column, schema, encoding):
+def _key(key_type, key_encoding):
+    if key_encoding == "int32":
+        return int_from_bytes(F.col("key").cast("binary"))
+    return F.col("key").cast("string").cast(key_type)
+
+
+def _value(schema, encoding):
     if encoding == "json":
-        return F.from_json(column.cast("string"), schema)
+        return F.from_json(F.col("value").cast("string"), schema)
     from pyspark.sql.avro.functions import from_avro
 
-    return from_avro(column, encoding)
+    return from_avro(F.col("value"), avro_schema(schema))
 
 
 def read_topic(spark, topic, value_schema, *, fmt="kafka", options=None, key_type="string",
-               encoding="json", streaming=True, event_time=None, delay="0 seconds"):
+               key_encoding="text", encoding="json", streaming=True, event_time=None,
+               delay="0 seconds"):
     """Records of a topic as ``key`` and the fields of the value.
 
     ``options`` are connector options (``kafka.bootstrap.servers``, or
-    ``path`` for files). ``encoding`` is "json" or the JSON text of an Avro
-    schema. ``event_time`` maps the frame to a timestamp column; it adds the
-    column ``ts`` and, on a stream, the watermark.
+    ``path`` for files). Values are "json" or "avro", keys "text" or "int32"
+    (four bytes). ``event_time`` is a timestamp column over the fields; it is
+    added as ``ts`` and, on a stream, carries the watermark.
     """
     log = _open(spark, topic, fmt, options, streaming)
     records = log.select(
-        F.col("key").cast("string").cast(key_type).alias("key"),
-        _decode(F.col("value"), value_schema, encoding).alias("_value"),
+        _key(key_type, key_encoding).alias("key"), _value(value_schema, encoding).alias("_value"),
     ).select("key", "_value.*")
     if event_time is None:
         return records
@@ -55,10 +64,10 @@ def read_topic(spark, topic, value_schema, *, fmt="kafka", options=None, key_typ
 
 
 def read_topic_keys(spark, topic, *, fmt="kafka", options=None, key_type="string",
-                    streaming=True):
+                    key_encoding="text", streaming=True):
     """Keys of a topic; the values are never read."""
     log = _open(spark, topic, fmt, options, streaming)
-    return log.select(F.col("key").cast("string").cast(key_type).alias("key"))
+    return log.select(_key(key_type, key_encoding).alias("key"))
 
 
 def read_whole_topic(spark, topic, *, fmt="kafka", options=None):

@@ -1,5 +1,8 @@
-"""Streaming jobs. Each gives a started query that stops when the input is done.
+"""Streaming jobs. Each gives a started query.
 
+By default a query stops when the input present at its start is done; another
+``trigger`` lets it run on. ``encoding`` (with ``key_encoding`` for keys) names
+how records are stored in topics, "json" or "avro".
 ``checkpoint`` is a folder all executors see; a restarted job goes on from it.
 A new run over an emptied sink takes a new one.
 """
@@ -11,16 +14,18 @@ from ridecells.functions.times import minute_of_hour, parse_weather_time
 from ridecells.models.forest import predicted_counts, weather_features
 from ridecells.operators.cleaning import enrich_or_drop
 from ridecells.operators.counts import count_by_window, popular, stamp_windows
-from ridecells.operators.joins import with_all_cells
+from ridecells.operators.joins import BROADCAST_ROWS, with_all_cells
 from ridecells.schemas import (
-    CELLED_RIDE, POPULAR_COUNT, RAIN_MINUTE, RAW_RIDE, SLIDE_MINUTES, WEATHER_REPORT,
-    WINDOW_MINUTES,
+    CELLED_RIDE, POPULAR_COUNT, RAIN_MINUTE, RAW_RIDE, SLIDE_MINUTES, UNTIL_DONE,
+    WEATHER_REPORT, WINDOW_MINUTES,
 )
 from ridecells.sinks.tables import index_documents
 from ridecells.sinks.topics import write_topic
 from ridecells.sources.topics import read_topic
 from ridecells.streaming.event_time import pickup_time
 
+CONDITIONS = ["weekday", "hour", "temperature", "precipitation"]
+
 
 def celled_rides(rides, event_time=None):
     """Raw ride records with their cell, those without one dropped."""
@@ -36,22 +41,27 @@ def popular_counts(celled, size=WINDOW_MINUTES, every=SLIDE_MINUTES, threshold=P
     return stamp_windows(popular(counts, threshold))
 
 
-def run_enrichment(spark, source, sink, *, fmt="kafka", options=None, checkpoint):
+def run_enrichment(spark, source, sink, *, fmt="kafka", options=None, encoding="json",
+                   key_encoding="text", checkpoint, trigger=UNTIL_DONE):
     """Raw rides topic to celled rides topic, keyed by cell."""
-    rides = read_topic(spark, source, RAW_RIDE, fmt=fmt, options=options).drop("key")
+    rides = read_topic(spark, source, RAW_RIDE, fmt=fmt, options=options,
+                       encoding=encoding).drop("key")
     return write_topic(celled_rides(rides), sink, key="pickup_cellid", fmt=fmt, options=options,
-                       checkpoint=checkpoint)
+                       encoding=encoding, key_encoding=key_encoding, checkpoint=checkpoint,
+                       trigger=trigger)
 
 
 def run_popular_cells(spark, source, sink, *, size=WINDOW_MINUTES, every=SLIDE_MINUTES,
                       threshold=POPULAR_COUNT, delay="0 seconds", fmt="kafka", options=None,
-                      checkpoint):
+                      encoding="json", key_encoding="text", checkpoint, trigger=UNTIL_DONE):
     """Celled rides topic to popular cells topic, keyed by cell."""
     celled = read_topic(spark, source, CELLED_RIDE, fmt=fmt, options=options, key_type="int",
+                        key_encoding=key_encoding, encoding=encoding,
                         event_time=pickup_time(), delay=delay)
     counts = popular_counts(celled, size, every, threshold)
     return write_topic(counts, sink, key="cell_id", fmt=fmt, options=options,
-                       checkpoint=checkpoint)
+                       encoding=encoding, key_encoding=key_encoding, checkpoint=checkpoint,
+                       trigger=trigger)
 
 
 def cell_documents(counts):
@@ -60,13 +70,20 @@ def cell_documents(counts):
 
 def run_popular_documents(spark, source, index_path, *, size=WINDOW_MINUTES, every=SLIDE_MINUTES,
                           threshold=POPULAR_COUNT, delay="0 seconds", fmt="kafka", options=None,
-                          index_format="text", index_options=None, checkpoint):
+                          encoding="json", index_format="text", index_options=None, checkpoint,
+                          trigger=UNTIL_DONE):
     """Raw rides topic to index documents of popular cells, in one query."""
-    rides = read_topic(spark, source, RAW_RIDE, fmt=fmt, options=options,
+    rides = read_topic(spark, source, RAW_RIDE, fmt=fmt, options=options, encoding=encoding,
                        event_time=pickup_time(), delay=delay)
     counts = popular_counts(celled_rides(rides, event_time="ts"), size, every, threshold)
     return index_documents(cell_documents(counts), index_path, fmt=index_format,
-                           options=index_options, checkpoint=checkpoint)
+                           options=index_options, checkpoint=checkpoint, trigger=trigger)
+
+
+def _worth_sharing(reports, most=BROADCAST_ROWS):
+    combinations = reports.groupBy(*CONDITIONS).agg(F.count("*").alias("n"))
+    facts = combinations.agg(F.count("*").alias("kinds"), F.sum("n").alias("rows")).first()
+    return 0 < facts["kinds"] * 4 <= (facts["rows"] or 0) <= most
 
 
 def predicted_demand(weather, scorer, cells=None, only_rain_minute=False):
@@ -75,21 +92,34 @@ def predicted_demand(weather, scorer, cells=None, only_rain_minute=False):
     ``weather`` has ``datetime, fahrenheit, precip_in``; ``scorer`` adds the
     column ``prediction``. ``cells`` restricts the cells, and
     ``only_rain_minute`` the reports to those the training used.
+
+    The features of a report take few values (weekdays, hours, buckets). If a
+    count shows that a batch of reports has few combinations of them, and is
+    small enough to broadcast, each combination is scored once and handed to
+    its reports. Otherwise, and on a stream, each report is scored.
     """
     timed = weather.withColumn("ts", parse_weather_time("datetime"))
     if only_rain_minute:
         timed = timed.filter(minute_of_hour("ts") == RAIN_MINUTE)
-    rows = with_all_cells(weather_features(timed), cells)
-    return predicted_counts(scorer(rows))
+    reports = weather_features(timed).select("datetime", *CONDITIONS)
+    if weather.isStreaming or not _worth_sharing(reports):
+        return predicted_counts(scorer(with_all_cells(reports, cells)))
+    scored = scorer(with_all_cells(reports.select(*CONDITIONS).distinct(), cells)).alias("s")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"r.{c}")) for c in CONDITIONS]
+    matched = scored.join(F.broadcast(reports.alias("r")), same).select("s.*", "r.datetime")
+    return predicted_counts(matched)
 
 
 def run_prediction(spark, source, sink, scorer, *, cells=None, only_rain_minute=False,
-                   fmt="kafka", options=None, checkpoint):
+                   fmt="kafka", options=None, encoding="json", key_encoding="text", checkpoint,
+                   trigger=UNTIL_DONE):
     """Weather topic to predicted counts topic, keyed by cell."""
-    weather = read_topic(spark, source, WEATHER_REPORT, fmt=fmt, options=options)
+    weather = read_topic(spark, source, WEATHER_REPORT, fmt=fmt, options=options,
+                         encoding=encoding)
     predictions = predicted_demand(weather, scorer, cells, only_rain_minute)
     return write_topic(predictions, sink, key="cell_id", fmt=fmt, options=options,
-                       checkpoint=checkpoint)
+                       encoding=encoding, key_encoding=key_encoding, checkpoint=checkpoint,
+                       trigger=trigger)
 
 
 def topic_values(spark, topic, schema, *, fmt="kafka", options=None):

@@ -1,9 +1,11 @@
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from ridecells.functions import numbers, text, times, weather
+from ridecells.schemas import CELL_COUNT, avro_schema
 
 
 def one(spark, schema, values, column):
@@ -74,3 +76,17 @@ def test_numbers(spark):
     assert one(spark, "s string", ("0.25",), numbers.clean_number("s")) == 0.25
     assert one(spark, "a double, b double", (1.0, 1.0009), numbers.within("a", "b", 0.001))
     assert not one(spark, "a double, b double", (1.0, 1.002), numbers.within("a", "b", 0.001))
+
+
+@pytest.mark.parametrize("value", [0, 1, 99_999, 2 ** 31 - 1, -1, -2 ** 31])
+def test_integers_as_four_bytes(spark, value):
+    stored = one(spark, "v int", (value,), numbers.bytes_from_int(F.col("v")))
+    assert bytes(stored) == value.to_bytes(4, "big", signed=True)
+    assert one(spark, "v binary", (stored,), numbers.int_from_bytes(F.col("v"))) == value
+
+
+def test_avro_schema_of_a_record():
+    assert json.loads(avro_schema(CELL_COUNT, "CellCount")) == {
+        "type": "record", "name": "CellCount", "fields": [
+            {"name": "datetime", "type": "string"}, {"name": "cell_id", "type": "int"},
+            {"name": "count", "type": "long"}]}

@@ -2,7 +2,9 @@ import pytest
 
 from ridecells.catalog.ensembles import DEMAND_DOCUMENT, ZIP_ENSEMBLE
 from ridecells.models import ensemble, forest
+from ridecells.schemas import WEATHER_REPORT
 from ridecells.session import shared_folder
+from ridecells.streaming import jobs
 
 # Scores of the two-tree ensemble.
 SCORES = [
@@ -111,3 +113,38 @@ def test_categorical_forest(spark):
     model = forest.train_categorical(frame)
     assert model.stages[-1].getNumTrees == 2
     assert forest.score(model, frame).filter("prediction is null").count() == 0
+
+
+def test_scores_are_shared_only_if_that_saves_work(spark):
+    few = spark.range(100).selectExpr(
+        "1 AS weekday", "cast(id % 24 AS int) AS hour", "0 AS temperature", "0 AS precipitation")
+    assert jobs._worth_sharing(few) and not jobs._worth_sharing(few, most=99)
+    assert not jobs._worth_sharing(few.limit(90)) and not jobs._worth_sharing(few.limit(0))
+
+
+def test_demand_by_combination_and_by_report(spark, tmp_path, rows, monkeypatch):
+    path = tmp_path / "model.pmml"
+    path.write_text(DEMAND_DOCUMENT)
+    model = ensemble.read_ensemble(spark, str(path))
+
+    def scorer(frame):
+        return ensemble.score_ensemble(model, frame)
+
+    weather = spark.createDataFrame(
+        [("2014-05-07 09:51", 61.0, 0.0), ("2014-05-14 09:51", 62.0, 0.05),
+         ("2014-05-07 09:21", 30.0, None), ("2014-05-07 09:51", 61.0, 0.0)], WEATHER_REPORT)
+    cells = spark.createDataFrame([(0,), (99_999,), (50_552,)], "cell_id int")
+    results = []
+    for sharing in (True, False):
+        monkeypatch.setattr(jobs, "_worth_sharing", lambda frame, sharing=sharing: sharing)
+        results.append(rows(jobs.predicted_demand(weather, scorer, cells).na.fill(-1)))
+    shared = results[0]
+    assert shared == results[1]
+    # Without a rain reading the third tree has a score in the north only.
+    assert shared == sorted(
+        [("2014-05-07 09:21", 0, 3), ("2014-05-07 09:21", 50_552, -1),
+         ("2014-05-07 09:21", 99_999, -1)]
+        + [(day, cell, 3) for day in ("2014-05-07 09:51", "2014-05-07 09:51", "2014-05-14 09:51")
+           for cell in (0, 50_552, 99_999)])
+    only = jobs.predicted_demand(weather, scorer, cells, only_rain_minute=True)
+    assert only.count() == 9
