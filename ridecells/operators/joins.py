@@ -155,12 +155,42 @@ def _rivals(placed, squares, reach):
         placed.withColumn("_off", off).filter(F.col("_off") <= reach + spread)
         .groupBy("_row", "_column")
         .agg(F.min("_off").alias("_least"),
-             F.collect_list(F.struct("_off", "x", "y", "z", "zip")).alias("_near"))
-        .select("_row", "_column", F.filter(
-            "_near", lambda c: c["_off"] <= F.col("_least") + 2 * spread).alias("_near"))
+             F.collect_list(F.struct("zip", "x", "y", "z", "_off")).alias("_near"))
+        .select("_row", "_column", F.sort_array(F.filter(
+            "_near", lambda c: c["_off"] <= F.col("_least") + 2 * spread)).alias("_near"))
     )
 
 
+def _nearest_in_array(matched, unrolled=8):
+    """The struct (_d, zip) of the nearest entry of the array ``_near``.
+
+    Most arrays are short. Their first entries are compared by plain columns,
+    which become generated code; an array function, which is interpreted,
+    looks at the entries after those. Entries are in zip order, so the first
+    of equally near ones has the smallest zip.
+    """
+    spot = (F.col("_x"), F.col("_y"), F.col("_z"))
+    far = F.lit(float("inf"))
+
+    def distance(c):
+        return F.coalesce(_squared_chord(spot, (c["x"], c["y"], c["z"])), far)
+
+    entries = [F.get("_near", F.lit(i)) for i in range(unrolled)]
+    rest = F.slice("_near", unrolled + 1, F.greatest(F.size("_near") - unrolled, F.lit(0)))
+    later = F.when(F.size("_near") > unrolled, F.array_min(F.transform(
+        rest, lambda c: F.struct(distance(c).alias("_d"), c["zip"].alias("zip")))))
+    measured = matched.withColumns({
+        **{f"_d{i}": distance(entry) for i, entry in enumerate(entries)}, "_later": later})
+    least = F.least(*[F.col(f"_d{i}") for i in range(unrolled)])
+    first = F.coalesce(*[
+        F.when(F.col(f"_d{i}") == F.col("_least"), entry["zip"]) for i, entry in enumerate(entries)
+    ])
+    early = F.struct(F.col("_least").alias("_d"), first.alias("zip"))
+    return measured.withColumn("_least", least).withColumn(
+        "_best", F.when(F.col("_later").isNull() | (early <= F.col("_later")), early)
+        .otherwise(F.col("_later")))
+
+
 def nearest_zip(points, zips, radius_miles=1.0, lat="lat", lon="lon", most=BROADCAST_ROWS):
     """Points with the column ``zip``: the nearest centroid within the radius.
 
@@ -187,13 +217,10 @@ def nearest_zip(points, zips, radius_miles=1.0, lat="lat", lon="lon", most=BROAD
                 {**where, "_x": here[0], "_y": here[1], "_z": here[2]})
             .join(F.broadcast(_rivals(placed, squares, reach)), ["_row", "_column"], "left")
         )
-        spot = (F.col("_x"), F.col("_y"), F.col("_z"))
-        best = F.array_min(F.transform("_near", lambda c: F.struct(
-            _squared_chord(spot, (c["x"], c["y"], c["z"])).alias("d"), c["zip"].alias("zip"))))
         # Exploding the one result keeps later filters on the zip from moving
         # below this point, where each would search again.
-        found = matched.select(*columns, F.explode(F.array(best)).alias("_best"))
-        zip_code = F.when(F.col("_best.d") <= reach ** 2, F.col("_best.zip"))
+        found = _nearest_in_array(matched).select(*columns, F.explode(F.array("_best")).alias("_b"))
+        zip_code = F.when(F.col("_b._d") <= reach ** 2, F.col("_b.zip"))
         return found.select(*columns, F.coalesce(zip_code, F.lit(MISSING_ZIP)).alias("zip"))
 
     chord = _squared_chord(here, (F.col("x"), F.col("y"), F.col("z")))

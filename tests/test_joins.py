@@ -81,7 +81,7 @@ def brute_force(points, zips, radius):
 
 @pytest.mark.parametrize("center, spread, radius", [
     ((40.75, -73.9), 0.3, 1.0), ((40.75, -73.9), 0.3, 3.0), ((0.0, 179.95), 0.4, 5.0),
-    ((84.0, -179.9), 0.6, 5.0), ((-33.0, 0.0), 0.05, 0.5)])
+    ((84.0, -179.9), 0.6, 5.0), ((-33.0, 0.0), 0.05, 0.5), ((40.75, -73.9), 0.004, 3.0)])
 @pytest.mark.parametrize("most", [joins.BROADCAST_ROWS, 0])
 def test_nearest_zip_is_that_of_brute_force(spark, rows, center, spread, radius, most):
     rng = random.Random(7)
