@@ -18,12 +18,18 @@ def _long(df, columns):
 
 
 def _facts(values, points, accuracy):
-    """Moments, extremes and a quantile sketch per column; one row each."""
-    return values.groupBy("column").agg(
+    """Map from column to moments, extremes and a quantile sketch, as a scalar.
+
+    A scalar, because the plan uses it more than once and Spark computes equal
+    scalar subqueries once.
+    """
+    per_column = values.groupBy("column").agg(F.struct(
         F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("least"), F.max("v").alias("most"),
         F.percentile_approx("v", points, accuracy).alias("points"),
-    )
+    ).alias("facts"))
+    return per_column.agg(
+        F.map_from_entries(F.collect_list(F.struct("column", "facts")))).scalar()
 
 
 def _sides(shares, accuracy):
@@ -33,20 +39,21 @@ def _sides(shares, accuracy):
 
 
 def _quantiles(values, facts, sides, points, accuracy):
-    few = F.col("n") < accuracy
+    few = F.col("f.n") < accuracy
 
     def end(p, extreme, at_extreme):
-        return F.when(few | F.lit(at_extreme), F.col(extreme)).otherwise(
-            F.col("points")[points.index(p)])
+        return F.when(few | F.lit(at_extreme), F.col(f"f.{extreme}")).otherwise(
+            F.col("f.points")[points.index(p)])
 
-    brackets = facts.select("column", F.array(*[
-        F.struct(F.lit(q).alias("share"), F.col("n"), end(low, "least", low <= 0.0).alias("low"),
+    brackets = F.array(*[
+        F.struct(F.lit(q).alias("share"), F.col("f.n").alias("n"),
+                 end(low, "least", low <= 0.0).alias("low"),
                  end(high, "most", high >= 1.0).alias("high"))
         for q, low, high in sides
-    ]).alias("brackets")).agg(F.map_from_entries(F.collect_list(F.struct("column", "brackets"))))
+    ])
     placed = (
-        values.filter(F.col("v").isNotNull())
-        .select("column", "v", F.explode(brackets.scalar()[F.col("column")]).alias("b"))
+        values.filter(F.col("v").isNotNull()).withColumn("f", facts[F.col("column")])
+        .select("column", "v", F.explode(brackets).alias("b"))
         .select("column", "v", "b.*").filter(F.col("v") <= F.col("high"))
         .withColumn("inside", F.when(F.col("v") >= F.col("low"), F.col("v")))
     )
@@ -92,9 +99,10 @@ def describe(df, columns, accuracy=100_000):
         F.max(F.when(F.col("share") == q, F.col("value"))).alias(name)
         for q, name in zip(QUARTILES, ("q25", "q50", "q75"))
     ])
-    return facts.join(quartiles, "column", "left").select(
-        "column", F.col("n").alias("count"), "mean", "std", F.col("least").alias("min"),
-        "q25", "q50", "q75", F.col("most").alias("max"))
+    each = df.sparkSession.range(1).select(F.explode(facts).alias("column", "f"))
+    return each.join(quartiles, "column", "left").select(
+        "column", F.col("f.n").alias("count"), "f.mean", "f.std", F.col("f.least").alias("min"),
+        "q25", "q50", "q75", F.col("f.most").alias("max"))
 
 
 def histogram(df, column, bins=10):
