@@ -1,5 +1,7 @@
 """Column profiles."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -17,54 +19,61 @@ def _long(df, columns):
     ])).alias("x")).select("x.*")
 
 
-def _facts(values, points, accuracy):
-    """Map from column to moments, extremes and a quantile sketch, as a scalar.
+def _facts(values, shares, accuracy):
+    """Map from column to moments, extremes and quantile brackets, as a scalar.
 
     A scalar, because the plan uses it more than once and Spark computes equal
     scalar subqueries once.
     """
-    per_column = values.groupBy("column").agg(F.struct(
-        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("least"), F.max("v").alias("most"),
-        F.percentile_approx("v", points, accuracy).alias("points"),
-    ).alias("facts"))
-    return per_column.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", "facts")))).scalar()
-
-
-def _sides(shares, accuracy):
     slack = 4.0 / accuracy
     sides = [(q, max(0.0, q - slack), min(1.0, q + slack)) for q in shares]
-    return sides, sorted({p for _, low, high in sides for p in (low, high)})
-
-
-def _quantiles(values, facts, sides, points, accuracy):
-    few = F.col("f.n") < accuracy
+    points = sorted({p for _, low, high in sides for p in (low, high)})
+    few = F.col("n") < accuracy
 
     def end(p, extreme, at_extreme):
-        return F.when(few | F.lit(at_extreme), F.col(f"f.{extreme}")).otherwise(
-            F.col("f.points")[points.index(p)])
+        return F.when(few | F.lit(at_extreme), F.col(extreme)).otherwise(
+            F.col("points")[points.index(p)])
 
+    per_column = values.groupBy("column").agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("least"), F.max("v").alias("most"),
+        F.percentile_approx("v", points, accuracy).alias("points"),
+    )
     brackets = F.array(*[
-        F.struct(F.lit(q).alias("share"), F.col("f.n").alias("n"),
-                 end(low, "least", low <= 0.0).alias("low"),
+        F.struct(F.lit(q).alias("share"), F.col("n"), end(low, "least", low <= 0.0).alias("low"),
                  end(high, "most", high >= 1.0).alias("high"))
         for q, low, high in sides
     ])
-    placed = (
-        values.filter(F.col("v").isNotNull()).withColumn("f", facts[F.col("column")])
-        .select("column", "v", F.explode(brackets).alias("b"))
-        .select("column", "v", "b.*").filter(F.col("v") <= F.col("high"))
-        .withColumn("inside", F.when(F.col("v") >= F.col("low"), F.col("v")))
+    facts = F.struct("n", "mean", "std", "least", "most", brackets.alias("brackets"))
+    return per_column.select("column", facts.alias("facts")).agg(
+        F.map_from_entries(F.collect_list(F.struct("column", "facts")))).scalar()
+
+
+def _quantiles(values, facts, shares):
+    """Rank the values inside the brackets, knowing how many lie between them.
+
+    Values in no bracket are only counted, by the number of brackets below
+    them; so the pass over all values has a handful of groups for them.
+    """
+    b = facts[F.col("column")]["brackets"]
+    some = range(len(shares))
+    held = reduce(lambda x, y: x | y, [
+        (F.col("v") >= b[i]["low"]) & (F.col("v") <= b[i]["high"]) for i in some])
+    passed = reduce(lambda x, y: x + y, [(F.col("v") > b[i]["high"]).cast("int") for i in some])
+    counted = (
+        values.filter(F.col("v").isNotNull())
+        .select("column", F.when(held, F.col("v")).alias("inside"), passed.alias("passed"))
+        .groupBy("column", "passed", "inside").agg(F.count("*").alias("rows"))
     )
-    per_value = placed.groupBy("column", "share", "n", "inside").agg(F.count("*").alias("rows"))
-    upto = F.sum("rows").over(
-        Window.partitionBy("column", "share").orderBy(F.col("inside").asc_nulls_first()))
-    ranked = per_value.withColumn("last", upto - 1).withColumn("first", upto - F.col("rows"))
+    placed = counted.select("*", F.posexplode(b).alias("place", "b")).select("*", "b.*").filter(
+        F.coalesce(F.col("inside") <= F.col("high"), F.col("passed") <= F.col("place")))
+    ranked = placed.withColumn("upto", F.sum("rows").over(
+        Window.partitionBy("column", "share").orderBy(F.col("inside").asc_nulls_first())))
     position = F.col("share") * (F.col("n") - 1)
+    first = F.col("upto") - F.col("rows")
 
     def order_statistic(rank):
-        hit = F.col("inside").isNotNull() & (F.col("first") <= rank) & (F.col("last") >= rank)
+        hit = F.col("inside").isNotNull() & (first <= rank) & (F.col("upto") > rank)
         return F.max(F.when(hit, F.col("inside")))
 
     return ranked.groupBy("column", "share").agg(
@@ -86,16 +95,15 @@ def exact_quantiles(df, columns, shares=QUARTILES, accuracy=100_000):
     ``accuracy`` rows the bracket is the whole column.
     """
     values = _long(df, columns)
-    sides, points = _sides(shares, accuracy)
-    return _quantiles(values, _facts(values, points, accuracy), sides, points, accuracy)
+    shares = sorted(shares)
+    return _quantiles(values, _facts(values, shares, accuracy), shares)
 
 
 def describe(df, columns, accuracy=100_000):
     """Count, mean, standard deviation, extremes and exact quartiles per column."""
     values = _long(df, columns)
-    sides, points = _sides(QUARTILES, accuracy)
-    facts = _facts(values, points, accuracy)
-    quartiles = _quantiles(values, facts, sides, points, accuracy).groupBy("column").agg(*[
+    facts = _facts(values, QUARTILES, accuracy)
+    quartiles = _quantiles(values, facts, QUARTILES).groupBy("column").agg(*[
         F.max(F.when(F.col("share") == q, F.col("value"))).alias(name)
         for q, name in zip(QUARTILES, ("q25", "q50", "q75"))
     ])
