@@ -139,9 +139,8 @@ def weather_stream(spark, folder):
 def whole_topic(spark, folder):
     place = _Place(spark, "whole-topic")
     place.publish(_celled_records(spark, folder), "celled", key="pickup_cellid")
-    return topics.read_whole_topic(spark, "celled", **place.topic).select(
-        F.col("key").cast("int").alias("key"),
-        F.from_json("value", CELLED_RIDE)["pickup_datetime"].alias("pickup_datetime"))
+    log = topics.read_whole_topic(spark, "celled", CELLED_RIDE, key_type="int", **place.topic)
+    return log.select("key", "pickup_datetime")
 
 
 def topic_end_offsets(spark, folder):
@@ -157,8 +156,8 @@ def topic_head(spark, folder):
     place = _Place(spark, "topic-head")
     rides = derived.busy_rides(spark, folder).orderBy("event_id")
     place.publish(derived.ride_records(rides), "rides")
-    _, head = batch.inspect_topic(spark, "rides", 20, **place.topic)
-    return head.select(F.from_json("value", RAW_RIDE).alias("r")).select("r.*")
+    _, head = batch.inspect_topic(spark, "rides", RAW_RIDE, **place.topic)
+    return head.drop("key", "partition", "offset")
 
 
 def ride_file_to_topic(spark, folder):

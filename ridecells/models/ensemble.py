@@ -96,6 +96,13 @@ def read_ensemble(spark, path):
             return Leaf(float(element.get("score")))
         return Branches([(test_of(child), node_of(child)) for child in inner])
 
+    for segmentation in document.iter():
+        if _local(segmentation) != "Segmentation":
+            continue
+        if segmentation.get("multipleModelMethod") != "average":
+            raise ValueError("only averaged trees are read")
+        if any(not _children(s, "True") for s in _children(segmentation, "Segment")):
+            raise ValueError("a segment that does not always hold")
     models = [m for m in document.iter() if _local(m) == "TreeModel"]
     trees = [
         Branches([(test_of(root), node_of(root))])

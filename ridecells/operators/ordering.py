@@ -9,6 +9,9 @@ def stable_order(df, *by):
 
     The input position also cuts ties apart for the range partitioning, so
     that one value held by a third of the rows still spreads over many tasks.
+    Positions must come out the same when a lost task is run again. They do for
+    a scan and row-wise steps over it; send the result of a shuffle through
+    ``checkpoint()`` first.
     """
     return (
         df.withColumn("_position", F.monotonically_increasing_id())

@@ -67,16 +67,20 @@ def save_zip_training_table(rides, weather, zips, path, radius_miles=1.0):
     write_csv(zip_training_table(rides, weather, zips, radius_miles), path)
 
 
-def publish_ride_file(spark, path, topic, *, fmt="kafka", options=None):
+def publish_ride_file(spark, path, topic, *, fmt="kafka", options=None, encoding="json"):
     """Ride file to a topic; gives the number of rides with bad coordinates."""
-    return publish_rides(ride_rows(spark, path), topic, fmt=fmt, options=options)
+    return publish_rides(ride_rows(spark, path), topic, fmt=fmt, options=options,
+                         encoding=encoding)
 
 
-def publish_weather_file(spark, path, topic, *, fmt="kafka", options=None):
-    write_topic(weather_rows(spark, path), topic, fmt=fmt, options=options)
+def publish_weather_file(spark, path, topic, *, fmt="kafka", options=None, encoding="json"):
+    write_topic(weather_rows(spark, path), topic, fmt=fmt, options=options, encoding=encoding)
 
 
-def inspect_topic(spark, topic, n=20, *, fmt="kafka", options=None):
-    """End offsets and the first n records of a topic."""
-    log = read_whole_topic(spark, topic, fmt=fmt, options=options)
+def inspect_topic(spark, topic, value_schema=None, n=20, **how):
+    """End offsets and the first n records of a topic.
+
+    ``how`` is passed to :func:`ridecells.sources.topics.read_whole_topic`.
+    """
+    log = read_whole_topic(spark, topic, value_schema, **how)
     return end_offsets(log), first_records(log, n)

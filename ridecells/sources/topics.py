@@ -70,8 +70,12 @@ def read_topic_keys(spark, topic, *, fmt="kafka", options=None, key_type="string
     return log.select(_key(key_type, key_encoding).alias("key"))
 
 
-def read_whole_topic(spark, topic, *, fmt="kafka", options=None):
-    """Everything in a topic now, with ``partition`` and ``offset``."""
+def read_whole_topic(spark, topic, value_schema=None, *, fmt="kafka", options=None,
+                     key_type="string", key_encoding="text", encoding="json"):
+    """Everything in a topic now, with ``partition`` and ``offset``.
+
+    Values are text unless their schema is given.
+    """
     log = _open(spark, topic, fmt, options, streaming=False)
     if fmt == "kafka":
         place = [F.col("partition").cast("string").alias("partition"), "offset"]
@@ -80,10 +84,11 @@ def read_whole_topic(spark, topic, *, fmt="kafka", options=None):
             F.col("_metadata.file_name").alias("partition"),
             F.col("_metadata.row_index").alias("offset"),
         ]
-    return log.select(
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-        *place,
-    )
+    key = _key(key_type, key_encoding).alias("key")
+    if value_schema is None:
+        return log.select(key, F.col("value").cast("string").alias("value"), *place)
+    decoded = log.select(key, _value(value_schema, encoding).alias("_value"), *place)
+    return decoded.select("key", "_value.*", "partition", "offset")
 
 
 def end_offsets(log):

@@ -61,6 +61,18 @@ def test_document_with_categories(spark, tmp_path):
         2.5, 1.5, None]
 
 
+@pytest.mark.parametrize("old, new", [
+    ('multipleModelMethod="average"', 'multipleModelMethod="sum"'),
+    ('<Segment id="1"><True/>', '<Segment id="1">'),
+    ('<SimplePredicate field="hour" operator="lessOrEqual" value="6.5"/>', "<CompoundPredicate/>")])
+def test_other_documents_are_refused(spark, tmp_path, old, new):
+    path = tmp_path / "model.pmml"
+    assert old in DEMAND_DOCUMENT
+    path.write_text(DEMAND_DOCUMENT.replace(old, new))
+    with pytest.raises(ValueError):
+        ensemble.read_ensemble(spark, str(path))
+
+
 @pytest.fixture(scope="module")
 def conditions(spark):
     rows = [(h, d, t, p, x, y, (h * 3 + d * t + p * x + y) % 17 + 1)

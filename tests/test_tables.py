@@ -153,7 +153,7 @@ def test_topic_round_trip(spark, ride_csv):
     path = ride_csv(RIDE, zero, RIDE.replace("CMT", "VTS"))
     for sends in (1, 2):
         assert batch.publish_ride_file(spark, path, "rides", **how) == 1
-        offsets, head = batch.inspect_topic(spark, "rides", 20, **how)
+        offsets, head = batch.inspect_topic(spark, "rides", **how)
         assert offsets.agg(F.sum("end_offset")).first()[0] == 2 * sends
         assert head.count() == 2 * sends
         back = topics.read_topic(spark, "rides", RAW_RIDE, streaming=False, **how)
