@@ -7,16 +7,20 @@ from ridecells.schemas import (
 )
 
 
+def inside_box(lat, lon):
+    """Strictly inside the box; null for null. A filter on it reaches the scan."""
+    lat, lon = F.col(lat), F.col(lon)
+    return (lat > LAT_SOUTH) & (lat < LAT_NORTH) & (lon > LON_WEST) & (lon < LON_EAST)
+
+
 def in_box(lat, lon):
     """True strictly inside the box; false for null and NaN."""
-    lat, lon = F.col(lat), F.col(lon)
-    inside = (lat > LAT_SOUTH) & (lat < LAT_NORTH) & (lon > LON_WEST) & (lon < LON_EAST)
-    return F.coalesce(inside, F.lit(False))
+    return F.coalesce(inside_box(lat, lon), F.lit(False))
 
 
 def bad_coordinate(lat, lon):
     """True when either coordinate is zero."""
-    return F.coalesce(F.col(lat) == 0.0, F.lit(False)) | F.coalesce(F.col(lon) == 0.0, F.lit(False))
+    return F.col(lat).eqNullSafe(0.0) | F.col(lon).eqNullSafe(0.0)
 
 
 def grid_cell(lat, lon):
@@ -26,7 +30,7 @@ def grid_cell(lat, lon):
     """
     row = F.floor((F.lit(LAT_NORTH) - F.col(lat)) / LAT_STEP)
     column = F.floor((F.col(lon) - LON_WEST) / LON_STEP)
-    return F.when(in_box(lat, lon), (row * GRID_COLUMNS + column).cast("int"))
+    return F.when(inside_box(lat, lon), (row * GRID_COLUMNS + column).cast("int"))
 
 
 def cell_x(cell_id):

@@ -3,7 +3,7 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from ridecells.functions.grid import bad_coordinate, grid_cell, in_box
+from ridecells.functions.grid import bad_coordinate, grid_cell, in_box, inside_box
 from ridecells.functions.numbers import clean_number
 from ridecells.functions.times import (
     hour_of_day, hour_start, minute_of_hour, weekday_from_one, weekday_from_zero,
@@ -19,7 +19,7 @@ def without_bad_coordinates(rides, lat="lat", lon="lon"):
 
 def enrich_rides(rides, lat="lat", lon="lon", cell="cell_id"):
     """Rides inside the box with their cell."""
-    return rides.filter(in_box(lat, lon)).withColumn(cell, grid_cell(lat, lon))
+    return rides.filter(inside_box(lat, lon)).withColumn(cell, grid_cell(lat, lon))
 
 
 def enrich_or_drop(rides, name="rides without a cell", lat="pickup_latitude",

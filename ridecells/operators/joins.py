@@ -42,7 +42,10 @@ def weather_counts(rides, weather, most=BROADCAST_ROWS):
     """
     keys = ["cell_id", "weekday", "hour", "temperature", "precipitation"]
     if few_rows(weather, most):
-        joined = rides.join(F.broadcast(weather), "hour_ts")
+        # Weekday and hour come from the few weather rows, not from each ride.
+        timed = weather.withColumn("weekday", weekday_from_one("hour_ts")).withColumn(
+            "hour", hour_of_day("hour_ts"))
+        joined = rides.select("cell_id", "hour_ts").join(F.broadcast(timed), "hour_ts")
         return joined.groupBy(*keys).count()
     per_hour = rides.groupBy("cell_id", "hour_ts").agg(F.count("*").alias("rides"))
     reports = (

@@ -20,11 +20,11 @@ def read_csv(spark, path, schema=None):
 
 
 def load_rides(spark, path, schema=None):
-    """Pick-up time and place as ``date, lat, lon``."""
+    """Pick-up time and place as ``date, lat, lon``; null where malformed."""
     raw = read_csv(spark, path, schema)
     named = raw.toDF(*[without_leading_blank(c) for c in raw.columns])
     return named.select(
-        F.col("pickup_datetime").cast("timestamp").alias("date"),
+        F.col("pickup_datetime").try_cast("timestamp").alias("date"),
         F.col("pickup_latitude").alias("lat"),
         F.col("pickup_longitude").alias("lon"),
     )

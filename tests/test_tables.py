@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ridecells.operators import counts, ordering, profile
+from ridecells.operators import cleaning, counts, ordering, profile
 from ridecells.plans import batch
 from ridecells.schemas import RAW_RIDE, RIDE_FILE, WEATHER_REPORT
 from ridecells.session import shared_folder
@@ -127,6 +127,27 @@ def test_ride_rows_abort_on_malformed_numbers(spark, ride_csv):
             files.ride_rows(spark, ride_csv(RIDE, bad)).collect()
 
 
+def test_malformed_rides_drop_out_of_the_training_table(spark, ride_csv, tmp_path):
+    weather = tmp_path / "weather.csv"
+    weather.write_text("station, valid, tmpf, x, p01i\nLGA,2014-05-07 09:51,61.0,-,0.25\n")
+    rides = ride_csv(RIDE, RIDE.replace("2014-05-07 09:33:52", "yesterday"),
+                     RIDE.replace("-73.977132999999995", "west"), RIDE)
+    got = batch.training_table_from_files(spark, rides, str(weather), RIDE_FILE)
+    assert [tuple(r) for r in got.collect()] == [(3, 9, 2, 1, 2, 52, 202)]
+
+
+def test_box_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "rides")
+    spark.createDataFrame([(40.7, -73.9, 1, 2)], "lat double, lon double, a int, b int").write.parquet(path)
+    rides = cleaning.enrich_rides(cleaning.without_bad_coordinates(spark.read.parquet(path)))
+    plan = rides.select("cell_id")._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
+    for part in ("GreaterThan(lat,40.5)", "LessThan(lat,41.0)", "GreaterThan(lon,-74.05)",
+                 "LessThan(lon,-73.7)", "Not(EqualNullSafe(lat,0.0))"):
+        assert part in scan
+    assert "ReadSchema: struct<lat:double,lon:double>" in scan
+
+
 def test_weather_rows(spark, tmp_path):
     path = tmp_path / "weather.csv"
     path.write_text("station, valid, tmpf, x, p01i\nLGA,2014-05-01 05:51,61.0,-,0.25\n")
