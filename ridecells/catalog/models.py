@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ridecells.catalog import sql
 from ridecells.catalog.ensembles import DEMAND_DOCUMENT, ZIP_ENSEMBLE
-from ridecells.catalog.streams import _Place
+from ridecells.catalog.streams import Place
 from ridecells.catalog.tables import training_table, zip_training_table
 from ridecells.functions.times import hour_of_day, parse_weather_time, weekday_from_one
 from ridecells.models import ensemble, forest
@@ -50,7 +50,7 @@ def trained_categorical_forest(spark, folder):
 
 def train_save_and_load(spark, folder):
     """A small forest trained from files and saved; counts of equal scores."""
-    place = _Place(spark, "train-save")
+    place = Place(spark, "train-save")
     rides, weather = place.path("rides"), place.path("weather")
     derived.ride_file(spark, folder).write.option("header", True).csv(rides)
     derived.weather_file(spark, folder).write.option("header", True).csv(weather)
@@ -63,7 +63,7 @@ def train_save_and_load(spark, folder):
 
 def forest_parity(spark, folder):
     """A Spark forest against the same trees as column expressions."""
-    place = _Place(spark, "parity")
+    place = Place(spark, "parity")
     counts = training_table(spark, folder)
     _, model = forest.train_forest(counts, trees=10, depth=5)
     trees = ensemble.ensemble_of_forest(
@@ -83,7 +83,7 @@ def ensemble_scores(spark, folder):
 
 def document_ensemble_scores(spark, folder):
     """The demand ensemble, read from its document, on the training table."""
-    score = _demand_scorer(spark, _Place(spark, "document"))
+    score = _demand_scorer(spark, Place(spark, "document"))
     return score(training_table(spark, folder))
 
 
@@ -95,7 +95,7 @@ def weather_features(spark, folder):
 
 def predicted_demand(spark, folder):
     """Every report times all 100,000 cells, scored; summed up per report."""
-    score = _demand_scorer(spark, _Place(spark, "demand"))
+    score = _demand_scorer(spark, Place(spark, "demand"))
     predicted = jobs.predicted_demand(derived.weather_records(spark, folder), score)
     return predicted.groupBy("datetime").agg(
         F.count("*").alias("cells"), F.sum("count").alias("total"), F.max("count").alias("most"))
@@ -112,7 +112,7 @@ def predicted_demand_by_forest(spark, folder):
 
 def prediction_stream(spark, folder):
     """The prediction job for the cells seen in training and rain-minute reports."""
-    place = _Place(spark, "prediction-stream")
+    place = Place(spark, "prediction-stream")
     place.publish(derived.weather_records(spark, folder), "weather")
     cells = enrich_rides(derived.busy_rides(spark, folder))
     jobs.run_prediction(
@@ -123,7 +123,7 @@ def prediction_stream(spark, folder):
 
 def scored_file(spark, folder):
     """A table of conditions read from CSV and scored."""
-    place = _Place(spark, "scored-file")
+    place = Place(spark, "scored-file")
     training_table(spark, folder).write.option("header", True).csv(place.path("counts"))
     rows = files.read_csv(
         spark, place.path("counts"), "weekday int, hour int, temperature int, precipitation int,"

@@ -8,13 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ridecells.catalog import sql
+from ridecells.catalog.tables import RADIUS
+from ridecells.functions.numbers import clean_number
 from ridecells.operators import cleaning
 from ridecells.plans import batch
 from ridecells.plans import derived_tables as derived
-from ridecells.catalog.tables import RADIUS
-from ridecells.functions.numbers import clean_number
 from ridecells.schemas import (
-    CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, RIDE_FILE, WEATHER_FILE, WEATHER_REPORT,
+    CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, RIDE_FILE, WEATHER_REPORT,
 )
 from ridecells.session import shared_folder
 from ridecells.sinks.tables import index_documents, replace_table, write_csv, write_sorted_csv
@@ -24,7 +24,7 @@ from ridecells.streaming import jobs
 from ridecells.streaming.event_time import pickup_time, with_watermark
 
 
-class _Place:
+class Place:
     """A working folder with topics and checkpoints in it."""
 
     def __init__(self, spark, name):
@@ -68,7 +68,7 @@ def _weather_csv(spark, folder, place, strict):
 
 
 def csv_scan_inferred(spark, folder):
-    place = _Place(spark, "csv-scan")
+    place = Place(spark, "csv-scan")
     rides = files.read_csv(spark, _ride_csv(spark, folder, place))
     return rides.select(
         F.date_format(" pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_datetime"),
@@ -77,14 +77,14 @@ def csv_scan_inferred(spark, folder):
 
 
 def ride_loader(spark, folder):
-    place = _Place(spark, "ride-loader")
+    place = Place(spark, "ride-loader")
     rides = files.load_rides(spark, _ride_csv(spark, folder, place), RIDE_FILE)
     return rides.select(
         F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), "lat", "lon")
 
 
 def weather_loader(spark, folder):
-    place = _Place(spark, "weather-loader")
+    place = Place(spark, "weather-loader")
     weather = files.load_weather(spark, _weather_csv(spark, folder, place, strict=False))
     return weather.select(
         F.date_format("valid", "yyyy-MM-dd HH:mm").alias("valid"),
@@ -92,12 +92,12 @@ def weather_loader(spark, folder):
 
 
 def ride_rows_by_position(spark, folder):
-    place = _Place(spark, "ride-rows")
+    place = Place(spark, "ride-rows")
     return files.ride_rows(spark, _ride_csv(spark, folder, place))
 
 
 def weather_rows_by_position(spark, folder):
-    place = _Place(spark, "weather-rows")
+    place = Place(spark, "weather-rows")
     return files.weather_rows(spark, _weather_csv(spark, folder, place, strict=True))
 
 
@@ -113,7 +113,7 @@ def _drain(stream, place, name):
 
 
 def topic_stream(spark, folder):
-    place = _Place(spark, "topic-stream")
+    place = Place(spark, "topic-stream")
     place.publish(_celled_records(spark, folder), "celled", key="pickup_cellid")
     rows = topics.read_topic(spark, "celled", CELLED_RIDE, key_type="int",
                              event_time=pickup_time(), **place.topic)
@@ -123,21 +123,21 @@ def topic_stream(spark, folder):
 
 
 def topic_key_stream(spark, folder):
-    place = _Place(spark, "topic-keys")
+    place = Place(spark, "topic-keys")
     place.publish(_celled_records(spark, folder), "celled", key="pickup_cellid")
     keys = topics.read_topic_keys(spark, "celled", key_type="int", **place.topic)
     return _drain(keys, place, "keys")
 
 
 def weather_stream(spark, folder):
-    place = _Place(spark, "weather-stream")
+    place = Place(spark, "weather-stream")
     place.publish(derived.weather_records(spark, folder), "weather")
     rows = topics.read_topic(spark, "weather", WEATHER_REPORT, **place.topic)
     return _drain(rows, place, "rows").drop("key")
 
 
 def whole_topic(spark, folder):
-    place = _Place(spark, "whole-topic")
+    place = Place(spark, "whole-topic")
     place.publish(_celled_records(spark, folder), "celled", key="pickup_cellid")
     log = topics.read_whole_topic(spark, "celled", CELLED_RIDE, key_type="int", **place.topic)
     return log.select("key", "pickup_datetime")
@@ -145,7 +145,7 @@ def whole_topic(spark, folder):
 
 def topic_end_offsets(spark, folder):
     """A topic that was sent to twice; offsets summed over the partitions."""
-    place = _Place(spark, "end-offsets")
+    place = Place(spark, "end-offsets")
     place.publish(_records(spark, folder), "rides")
     place.publish(_records(spark, folder), "rides")
     log = topics.read_whole_topic(spark, "rides", **place.topic)
@@ -153,7 +153,7 @@ def topic_end_offsets(spark, folder):
 
 
 def topic_head(spark, folder):
-    place = _Place(spark, "topic-head")
+    place = Place(spark, "topic-head")
     rides = derived.busy_rides(spark, folder).orderBy("event_id")
     place.publish(derived.ride_records(rides), "rides")
     _, head = batch.inspect_topic(spark, "rides", RAW_RIDE, **place.topic)
@@ -161,26 +161,26 @@ def topic_head(spark, folder):
 
 
 def ride_file_to_topic(spark, folder):
-    place = _Place(spark, "ride-file-topic")
+    place = Place(spark, "ride-file-topic")
     bad = batch.publish_ride_file(spark, _ride_csv(spark, folder, place), "rides", **place.topic)
     return place.values("rides", RAW_RIDE).withColumn("bad", F.lit(bad).cast("bigint"))
 
 
 def weather_file_to_topic(spark, folder):
-    place = _Place(spark, "weather-file-topic")
+    place = Place(spark, "weather-file-topic")
     path = _weather_csv(spark, folder, place, strict=True)
     batch.publish_weather_file(spark, path, "weather", **place.topic)
     return place.values("weather", WEATHER_REPORT)
 
 
 def rides_to_topic(spark, folder):
-    place = _Place(spark, "rides-topic")
+    place = Place(spark, "rides-topic")
     publish_rides(_records(spark, folder), "rides", **place.topic)
     return place.values("rides", RAW_RIDE)
 
 
 def indexed_documents(spark, folder):
-    place = _Place(spark, "documents")
+    place = Place(spark, "documents")
     celled = _celled_records(spark, folder).withColumn("ts", pickup_time())
     counted = jobs.popular_counts(celled, threshold=2)
     index_documents(jobs.cell_documents(counted), place.path("index"))
@@ -193,7 +193,7 @@ def sorted_ride_file(spark, folder):
     A file starts too early if its first time is before the last time of the
     file before it. The window runs over one row per part file.
     """
-    place = _Place(spark, "sorted-rides")
+    place = Place(spark, "sorted-rides")
     write_sorted_csv(derived.ride_file(spark, folder), place.path("sorted"), " pickup_datetime")
     rides = spark.read.option("header", True).csv(place.path("sorted"))
     spans = rides.select(
@@ -207,7 +207,7 @@ def sorted_ride_file(spark, folder):
 
 
 def zip_table_file(spark, folder):
-    place = _Place(spark, "zip-table")
+    place = Place(spark, "zip-table")
     rides = derived.dated_rides(derived.busy_rides(spark, folder))
     batch.save_zip_training_table(
         rides, derived.weather_reports(spark, folder), derived.zip_centroids(spark, folder),
@@ -218,7 +218,7 @@ def zip_table_file(spark, folder):
 
 
 def zipped_ride_file(spark, folder):
-    place = _Place(spark, "zipped-rides")
+    place = Place(spark, "zipped-rides")
     rides = files.load_rides(spark, _ride_csv(spark, folder, place), RIDE_FILE)
     write_csv(batch.add_zip(rides, derived.zip_centroids(spark, folder), RADIUS),
               place.path("zipped"))
@@ -228,14 +228,14 @@ def zipped_ride_file(spark, folder):
 
 
 def replaced_table(spark, folder):
-    place = _Place(spark, "replaced")
+    place = Place(spark, "replaced")
     for _ in range(2):
         replace_table(_celled_records(spark, folder), place.path("celled"))
     return spark.read.parquet(place.path("celled"))
 
 
 def training_table_from_files(spark, folder):
-    place = _Place(spark, "training-files")
+    place = Place(spark, "training-files")
     return batch.training_table_from_files(
         spark, _ride_csv(spark, folder, place), _weather_csv(spark, folder, place, strict=False),
         rides_schema=RIDE_FILE)
@@ -248,12 +248,12 @@ def event_time(spark, folder):
     rides = events.select(
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("pickup_datetime"))
     timed = with_watermark(rides.withColumn("ts", pickup_time()))
-    return _drain(timed, _Place(spark, "event-time"), "rides").select(
+    return _drain(timed, Place(spark, "event-time"), "rides").select(
         "event_id", F.unix_seconds("ts").alias("seconds"))
 
 
 def enrichment_stream(spark, folder):
-    place = _Place(spark, "enrichment")
+    place = Place(spark, "enrichment")
     place.publish(_records(spark, folder), "rides")
     jobs.run_enrichment(spark, "rides", "celled", checkpoint=place.path("c"),
                         **place.topic).awaitTermination()
@@ -261,7 +261,7 @@ def enrichment_stream(spark, folder):
 
 
 def popular_cells_stream(spark, folder):
-    place = _Place(spark, "popular-stream")
+    place = Place(spark, "popular-stream")
     place.publish(_celled_records(spark, folder), "celled", key="pickup_cellid")
     jobs.run_popular_cells(spark, "celled", "popular", threshold=2, checkpoint=place.path("c"),
                            **place.topic).awaitTermination()
@@ -270,7 +270,7 @@ def popular_cells_stream(spark, folder):
 
 def popular_cells_resumed(spark, folder):
     """The job run on an earlier part of the rides and again when more came."""
-    place = _Place(spark, "popular-resumed")
+    place = Place(spark, "popular-resumed")
     celled = _celled_records(spark, folder)
     early = F.col("pickup_datetime") < "2024-01-16"
     for part in (early, ~early):
@@ -282,7 +282,7 @@ def popular_cells_resumed(spark, folder):
 
 
 def popular_documents_stream(spark, folder):
-    place = _Place(spark, "popular-documents")
+    place = Place(spark, "popular-documents")
     place.publish(_records(spark, folder), "rides")
     jobs.run_popular_documents(
         spark, "rides", place.path("index"), threshold=2, checkpoint=place.path("c"),

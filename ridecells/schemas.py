@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql.types import (
     DoubleType, IntegerType, LongType, MapType, StringType, StructField,
-    StructType, TimestampType,
+    StructType,
 )
 
 # The grid. The steps are computed, not typed in, because the
@@ -102,16 +102,6 @@ WEATHER_FILE = _struct(
     ("p01i", DoubleType()),
 )
 
-# A weather file read without inference: numbers stay text until cleaned,
-# because stations write tokens such as "M" for a missing value.
-WEATHER_TEXT = _struct(
-    ("station", StringType()),
-    ("valid", TimestampType()),
-    ("tmpf", StringType()),
-    ("unused_3", StringType()),
-    ("p01i", StringType()),
-)
-
 REVERSE_GEOCODE = _struct(
     ("place_id", IntegerType()),
     ("licence", StringType()),

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridecells.operators.counts import count_by_window, popular, stamp_windows
-from ridecells.schemas import CELL_COUNT, CELLED_RIDE
+from ridecells.schemas import CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, WEATHER_REPORT
 from ridecells.session import shared_folder
 from ridecells.sinks.topics import write_topic
+from ridecells.sources.topics import read_topic
 from ridecells.streaming import jobs
 
 
@@ -135,8 +136,6 @@ def test_watermark_resumes_from_the_checkpoint(spark):
 
 
 def test_dropped_rides_move_the_watermark(spark):
-    from ridecells.schemas import DOCUMENT, RAW_RIDE
-
     base = shared_folder(spark, "guard")
     how = {"fmt": "parquet", "options": {"path": base}}
     rides = [("2014-05-07 09:00:00", 40.7, -73.9), ("2014-05-07 12:00:00", 0.0, 0.0)]
@@ -145,3 +144,36 @@ def test_dropped_rides_move_the_watermark(spark):
                                checkpoint=f"{base}/c", **how).awaitTermination()
     times = sorted(r.time for r in spark.read.schema(DOCUMENT).json(f"{base}/index").collect())
     assert times == [f"2014-05-07T09:{m}:59.999Z" for m in ("04", "09", "14")]
+
+
+def test_enrichment_keys_by_cell_and_counts_the_dropped(spark):
+    base = shared_folder(spark, "enrich")
+    how = {"fmt": "parquet", "options": {"path": base}}
+    rides = [("a", 40.999875, -74.04994), ("b", 40.50004, -73.70113), ("c", 0.0, -73.9),
+             ("d", None, None)]
+    write_topic(spark.createDataFrame(rides, RAW_RIDE), "rides", **how)
+    query = jobs.run_enrichment(spark, "rides", "celled", checkpoint=f"{base}/c", **how)
+    query.awaitTermination()
+    found = read_topic(spark, "celled", CELLED_RIDE, key_type="int", streaming=False, **how)
+    assert sorted((r.key, r.pickup_datetime, r.pickup_cellid) for r in found.collect()) == [
+        (0, "a", 0), (99_999, "b", 99_999)]
+    metrics = [p.observedMetrics["rides without a cell"] for p in query.recentProgress
+               if p.observedMetrics]
+    assert sum(m["dropped"] for m in metrics) == 2
+
+
+def test_predictions_run_as_a_stream_over_the_whole_grid(spark):
+    base = shared_folder(spark, "predict")
+    how = {"fmt": "parquet", "options": {"path": base}}
+    weather = [("2014-05-07 09:51", 61.0, 0.0), ("2014-05-07 09:21", 90.0, 0.5)]
+    write_topic(spark.createDataFrame(weather, WEATHER_REPORT), "weather", **how)
+
+    def scorer(frame):
+        return frame.withColumn("prediction", F.col("temperature") + 0.5)
+
+    jobs.run_prediction(spark, "weather", "predicted", scorer, checkpoint=f"{base}/c",
+                        **how).awaitTermination()
+    counts = jobs.topic_values(spark, "predicted", CELL_COUNT, **how).groupBy("datetime").agg(
+        F.count_distinct("cell_id"), F.min("count"), F.max("count"))
+    assert sorted(tuple(r) for r in counts.collect()) == [
+        ("2014-05-07 09:21", 100_000, 5, 5), ("2014-05-07 09:51", 100_000, 3, 3)]
