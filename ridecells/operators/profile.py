@@ -55,17 +55,17 @@ def _quantiles(values, facts, shares):
     Values in no bracket are only counted, by the number of brackets below
     them; so the pass over all values has a handful of groups for them.
     """
-    b = facts[F.col("column")]["brackets"]
-    some = range(len(shares))
+    brackets = facts[F.col("column")]["brackets"]
+    b, some = F.col("b"), range(len(shares))
     held = reduce(lambda x, y: x | y, [
         (F.col("v") >= b[i]["low"]) & (F.col("v") <= b[i]["high"]) for i in some])
     passed = reduce(lambda x, y: x + y, [(F.col("v") > b[i]["high"]).cast("int") for i in some])
     counted = (
-        values.filter(F.col("v").isNotNull())
+        values.filter(F.col("v").isNotNull()).withColumn("b", brackets)
         .select("column", F.when(held, F.col("v")).alias("inside"), passed.alias("passed"))
         .groupBy("column", "passed", "inside").agg(F.count("*").alias("rows"))
     )
-    placed = counted.select("*", F.posexplode(b).alias("place", "b")).select("*", "b.*").filter(
+    placed = counted.select("*", F.posexplode(brackets).alias("place", "b")).select("*", "b.*").filter(
         F.coalesce(F.col("inside") <= F.col("high"), F.col("passed") <= F.col("place")))
     ranked = placed.withColumn("upto", F.sum("rows").over(
         Window.partitionBy("column", "share").orderBy(F.col("inside").asc_nulls_first())))
