@@ -1,0 +1,87 @@
+import struct
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyarrow import fs
+from tokenizers import Tokenizer
+
+from ridecells.llm import token_files
+from ridecells.llm.huffman import code_lengths, codes_of, decode_block, decode_table, encode_block
+from tests.llm.helpers import ODD_TEXTS, VOCABULARY, documents
+
+
+@pytest.mark.parametrize("n, kinds", [(1, 1), (2, 1), (5, 2), (1000, 40), (70_000, 3000)])
+def test_blocks_come_back(n, kinds):
+    ids = np.minimum(np.random.default_rng(n).zipf(1.3, n) - 1, kinds - 1).astype(np.uint16)
+    lengths = code_lengths(np.bincount(ids))
+    packed, offsets = encode_block(ids, codes_of(lengths), lengths, 16)
+    assert (decode_block(packed, offsets, n, decode_table(lengths), 16) == ids).all()
+
+
+def test_lengths_are_the_best_within_the_limit():
+    # Fibonacci counts: an unlimited Huffman code would need nine bits
+    counts = [1, 1, 2, 3, 5, 8, 13, 21, 34, 55]
+    for limit in (4, 9):
+        lengths = code_lengths(counts, limit).astype(int)
+        assert lengths.max() <= limit and (2.0 ** -lengths).sum() <= 1
+        assert (lengths * counts).sum() == _cheapest(counts, limit)
+    with pytest.raises(ValueError):
+        code_lengths([1] * 5, 2)
+
+
+def _cheapest(counts, limit):
+    """Least cost over all multisets of lengths with a Kraft sum of one at most."""
+    counts = sorted(counts, reverse=True)
+    best = {(0, 0): 0}
+    for i, c in enumerate(counts):
+        after = {}
+        for (used, last), cost in best.items():
+            for length in range(max(1, last), limit + 1):
+                total = used + (1 << (limit - length))
+                if total <= 1 << limit:
+                    key = (total, length)
+                    after[key] = min(after.get(key, 1 << 60), cost + c * length)
+        best = after
+    return min(best.values())
+
+
+def expected_rows(texts):
+    library, start, out = Tokenizer.from_file(VOCABULARY), 0, []
+    for doc_id, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        out.append((doc_id, start, len(ids), crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("segment, block", [(4_000_000, 1 << 18), (300, 64)])
+def test_round_trip(spark, rows, monkeypatch, segment, block):
+    monkeypatch.setattr(token_files, "BLOCK_IDS", block)
+    made = token_files.segments(documents(spark).repartition(5), VOCABULARY, 1, segment)
+    folder = token_files.shared_folder(spark, "test-files")
+    manifest = token_files.write_files(token_files.stored(made, "test-segments"), folder)
+    back = token_files.read_files(manifest, folder)
+    assert rows(back, "doc_id", "start", "n_tokens", "ids_crc32") == expected_rows(ODD_TEXTS)
+    assert all(crc32(r.ids) == r.ids_crc32 for r in back.collect())
+
+
+def test_files_are_smaller_and_named_in_the_manifest(spark):
+    manifest, folder = token_files.write_documents(documents(spark, ["the cat and the dog " * 2000]), VOCABULARY)
+    row = manifest.collect()[0]
+    store, top = fs.FileSystem.from_uri(folder)
+    assert store.get_file_info(f"{top}/{row.file}").size == row.file_bytes
+    assert row.n_ids == 10_001 and row.file_bytes < row.n_ids
+
+
+def test_null_and_repeated_ids(spark, rows):
+    docs = documents(spark, ["b", "a", "x y", "a"], [7, 7, None, 7])
+    manifest, folder = token_files.write_documents(docs, VOCABULARY)
+    back = token_files.read_files(manifest, folder)
+    assert [(r.doc_id, r.start, r.n_tokens) for r in back.sort("start").collect()] == [
+        (None, 0, 3), (7, 3, 2), (7, 5, 2), (7, 7, 2)]
+
+
+def test_no_documents(spark):
+    manifest, folder = token_files.write_documents(documents(spark, []), VOCABULARY)
+    assert token_files.read_files(manifest, folder).collect() == []
