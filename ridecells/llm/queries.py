@@ -1,8 +1,9 @@
 """The operators of this folder over the given tables, and SQL that checks them."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from ridecells.llm import packing, token_files
+from ridecells.llm import decontamination, packing, secrets, sql, token_files
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -22,7 +23,24 @@ def token_id_files(spark, folder):
     return token_files.read_files(manifest, files, with_ids=False)
 
 
+def secret_scan(spark, folder):
+    found = secrets.find_secrets(_table(spark, folder, "documents"))
+    base = F.filter("secrets", lambda s: s["rank"] < len(secrets.BASE))
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, r.kind))).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+                        secrets.span_text(F.col("secrets")).alias("spans"))
+
+
+def benchmark_decontamination(spark, folder):
+    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
+    "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
     "op8_token_id_files": (token_id_files, None),
+    "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
 }

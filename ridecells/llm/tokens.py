@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Pieces kept per worker; beyond it the store is emptied and filled anew.
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 1_000_000
 
 _UNUSUAL = re.compile("[^\\x20-\\x7e\\t\\n\\r\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\\xdf-\\xf6\\xf8-\\xff]+|[0-9]|[^\\sa-z0-9\\xdf-\\xf6\\xf8-\\xff]+")
