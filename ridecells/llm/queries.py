@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ridecells.llm import decontamination, packing, secrets, sql, token_files
+from ridecells.llm import decontamination, jaccard, packing, secrets, sql, token_files
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -32,6 +32,11 @@ def secret_scan(spark, folder):
                         secrets.span_text(F.col("secrets")).alias("spans"))
 
 
+def ngram_jaccard_join(spark, folder):
+    return jaccard.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def benchmark_decontamination(spark, folder):
     found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -41,6 +46,7 @@ def benchmark_decontamination(spark, folder):
 QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
     "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
+    "op5_ngram_jaccard_join": (ngram_jaccard_join, sql.JACCARD),
     "op8_token_id_files": (token_id_files, None),
     "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
 }

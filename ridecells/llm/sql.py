@@ -50,3 +50,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
        sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n_hit USING (row_id) LEFT JOIN items USING (row_id)"""
+
+
+JACCARD = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row_id, doc_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents),
+s AS (SELECT DISTINCT row_id, w[p:p + 2] AS shingle
+    FROM (SELECT row_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT row_id, count(*) AS n FROM s GROUP BY row_id),
+common AS (SELECT x.row_id AS a, y.row_id AS b, count(*) AS c FROM s x JOIN s y USING (shingle) WHERE x.row_id <> y.row_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n na ON na.row_id = a JOIN n nb ON nb.row_id = b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+reach AS (SELECT row_id AS a, row_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN n USING (row_id) JOIN reach ON reach.a = d.row_id JOIN d o ON o.row_id = reach.b
+GROUP BY d.row_id, d.doc_id, n.n"""
