@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ridecells.llm import decontamination, jaccard, packing, secrets, sql, token_files
+from ridecells.llm import decontamination, jaccard, packing, quality, secrets, sql, token_files
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -37,6 +37,10 @@ def ngram_jaccard_join(spark, folder):
         "doc_id", "n_shingles", "component_id")
 
 
+def quality_classifier(spark, folder):
+    return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def benchmark_decontamination(spark, folder):
     found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
     "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
     "op5_ngram_jaccard_join": (ngram_jaccard_join, sql.JACCARD),
+    "op7_quality_trees": (quality_classifier, None),
     "op8_token_id_files": (token_id_files, None),
     "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
 }
