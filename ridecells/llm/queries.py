@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ridecells.llm import decontamination, jaccard, packing, quality, secrets, sql, token_files
+from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, secrets, sharding, sql, token_files
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -32,6 +32,15 @@ def secret_scan(spark, folder):
                         secrets.span_text(F.col("secrets")).alias("spans"))
 
 
+def order_minhash_fingerprints(spark, folder):
+    return fingerprints.compared_with_edits(_table(spark, folder, "documents"))
+
+
+def kd_tree_shards(spark, folder):
+    return sharding.kd_shards(_table(spark, folder, "documents"), shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def ngram_jaccard_join(spark, folder):
     return jaccard.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90).select(
         "doc_id", "n_shingles", "component_id")
@@ -50,7 +59,9 @@ def benchmark_decontamination(spark, folder):
 QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
     "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
+    "op3_order_minhash": (order_minhash_fingerprints, None),
     "op5_ngram_jaccard_join": (ngram_jaccard_join, sql.JACCARD),
+    "op6_kd_tree_shards": (kd_tree_shards, None),
     "op7_quality_trees": (quality_classifier, None),
     "op8_token_id_files": (token_id_files, None),
     "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
