@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, secrets, sharding, sql, token_files
+from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, secrets, sharding, sql, token_files, warc
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -36,6 +36,11 @@ def order_minhash_fingerprints(spark, folder):
     return fingerprints.compared_with_edits(_table(spark, folder, "documents"))
 
 
+def zipped_warc(spark, folder):
+    manifest, archives = warc.write_archives(_table(spark, folder, "pages"))
+    return warc.read_archives(manifest, archives, with_payload=False)
+
+
 def kd_tree_shards(spark, folder):
     return sharding.kd_shards(_table(spark, folder, "documents"), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
     "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
     "op3_order_minhash": (order_minhash_fingerprints, None),
+    "op4_zipped_warc": (zipped_warc, None),
     "op5_ngram_jaccard_join": (ngram_jaccard_join, sql.JACCARD),
     "op6_kd_tree_shards": (kd_tree_shards, None),
     "op7_quality_trees": (quality_classifier, None),
