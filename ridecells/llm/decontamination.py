@@ -92,25 +92,21 @@ def _indexed(docs, phrases, window, anchors):
     return items, windows, positional_index(docs, stored(rare, "anchor-terms"))
 
 
-def document_matches(docs, phrases, window=WINDOW_WORDS, anchors=ANCHORS):
-    """Every document with its exact matches.
-
-    Returns doc_id, n_words and ``matches``: for each place where a window
-    occurs, item_id, item, window (its first word in the item), position (in the
-    document) and size, in words.
-    """
+def _with_matches(docs, phrases, window, anchors):
+    """All columns of the documents, their words and their exact matches, under names of this module."""
     items, windows, index = _indexed(docs, phrases, window, anchors)
     together = _anchor_postings(index, windows).groupBy(*KEYS, "item", "shift").agg(F.collect_set("place").alias("places"))
     agreed = F.exists("windows", lambda w: F.forall(w["anchors"], lambda a: F.array_contains(F.col("places"), a["place"])))
     places = together.join(windows, "item").where(agreed).select(*KEYS, "item", "shift")
+    own = {"key_a": "_phrase_key_a", "key_b": "_phrase_key_b"}
     found = places.join(items, "item").groupBy(*KEYS).agg(  # a group is one document
-        F.collect_list(F.struct("item_id", "item", "shift", "item_words")).alias("found"))
+        F.collect_list(F.struct("item_id", "item", "shift", "item_words")).alias("_phrase_found")).withColumnsRenamed(own)
 
-    texts = docs.select("doc_id", "text", *row_keys())
-    read = texts.join(found, KEYS, "left").select("doc_id", words(F.col("text")).alias("doc_words"), "found")
+    texts = docs.select("*", *[k.alias(n) for k, n in zip(row_keys(), own.values())])
+    read = texts.join(found, list(own.values()), "left").withColumn("_phrase_words", words(F.col("text")))
 
     def matched(f):
-        same = F.transform(f["item_words"], lambda w, i: F.when(F.get("doc_words", f["shift"] + i) == w, "1").otherwise("0"))
+        same = F.transform(f["item_words"], lambda w, i: F.when(F.get("_phrase_words", f["shift"] + i) == w, "1").otherwise("0"))
         size = F.least(F.size(f["item_words"]), F.lit(window))
         starts = F.sequence(F.lit(0), F.size(f["item_words"]) - size)
         flags = F.array_join(same, "")
@@ -118,8 +114,18 @@ def document_matches(docs, phrases, window=WINDOW_WORDS, anchors=ANCHORS):
         return F.transform(hit, lambda s: F.struct(
             f["item_id"].alias("item_id"), f["item"].alias("item"), s.alias("window"), (s + f["shift"]).alias("position"), size.alias("size")))
 
-    matches = F.when(F.col("found").isNotNull() & (F.size("doc_words") > 0), F.flatten(F.transform("found", matched)))
-    return read.select("doc_id", F.size("doc_words").cast("long").alias("n_words"), matches.alias("matches"))
+    matches = F.when(F.col("_phrase_found").isNotNull() & (F.size("_phrase_words") > 0), F.flatten(F.transform("_phrase_found", matched)))
+    return read.select(*[F.col(f"`{c}`") for c in docs.columns], F.size("_phrase_words").cast("long").alias("_phrase_n_words"), matches.alias("_phrase_matches"))
+
+
+def document_matches(docs, phrases, window=WINDOW_WORDS, anchors=ANCHORS):
+    """Every document with its exact matches.
+
+    Returns doc_id, n_words and ``matches``: for each place where a window
+    occurs, item_id, item, window (its first word in the item), position (in the
+    document) and size, in words.
+    """
+    return _with_matches(docs.select("doc_id", "text"), phrases, window, anchors).toDF("doc_id", "text", "n_words", "matches").drop("text")
 
 
 def phrase_matches(docs, phrases, window=WINDOW_WORDS, anchors=ANCHORS):
@@ -163,11 +169,25 @@ def contamination(docs, phrases):
     """
     found = document_matches(docs, phrases)
     none = F.array()
-    hit = F.flatten(F.transform("matches", lambda m: F.sequence(m["position"], m["position"] + m["size"] - 1)))
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item_id"].cast("string")), F.isnotnull)))
     counted = found.select(
-        "doc_id", "n_words", F.size(F.coalesce(F.array_distinct(hit), none.cast("array<int>"))).cast("long").alias("n_hit"),
+        "doc_id", "n_words", _hit_words("matches").alias("n_hit"),
         F.coalesce(ids, none.cast("array<string>")).alias("item_ids"))
     return counted.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+        _contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+def _hit_words(matches):
+    hit = F.flatten(F.transform(matches, lambda m: F.sequence(m["position"], m["position"] + m["size"] - 1)))
+    return F.size(F.coalesce(F.array_distinct(hit), F.array().cast("array<int>"))).cast("long")
+
+
+def _contaminated(n_hit, n_words):
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def without_contaminated(docs, phrases):
+    """The documents, all columns, that aren't contaminated."""
+    found = _with_matches(docs, phrases, WINDOW_WORDS, ANCHORS)
+    return found.where(~_contaminated(_hit_words("_phrase_matches"), F.col("_phrase_n_words"))).drop("_phrase_n_words", "_phrase_matches")

@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, secrets, sharding, sql, token_files, warc
+import corpus_pipeline
+from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, secrets, sharding, sql, token_counts, token_files, warc
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -61,6 +62,18 @@ def benchmark_decontamination(spark, folder):
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def edited_token_counts(spark, folder):
+    """Each document with three edits of its own text: a new start, its first words repeated in the middle, a gap at a quarter."""
+    docs = _table(spark, folder, "documents")
+    size = F.coalesce(F.char_length("text"), F.lit(0))
+    half, quarter = F.floor(size / 2), F.floor(size / 4)
+    edits = F.array(
+        token_counts.change(F.lit(0), F.lit(8), F.lit("Edited text, ")),
+        token_counts.change(half, half, F.substring("text", 1, 64)),
+        token_counts.change(quarter, quarter + 32, F.lit("")))
+    return token_counts.edited(docs, edits, public_tokenizers.path(VOCABULARY))
+
+
 QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
     "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
@@ -71,4 +84,6 @@ QUERIES = {
     "op7_quality_trees": (quality_classifier, None),
     "op8_token_id_files": (token_id_files, None),
     "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
+    "op10_edited_token_counts": (edited_token_counts, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

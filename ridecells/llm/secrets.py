@@ -194,21 +194,21 @@ def _spans(text, rule, rank):
     return F.aggregate(pieces, none, add, lambda state: state["spans"])
 
 
-def find_secrets(docs, rules=RULES):
+def find_secrets(docs, rules=RULES, name="secrets"):
     """All columns of the documents and ``secrets``: spans by start, then as the rules are listed.
 
-    A span has start, rank (the rule's place in the list), kind and end. A
-    column of that name is replaced.
+    A span has start, rank (the rule's place in the list), kind and end.
+    Another ``name`` may be given; a column of that name is replaced.
     """
     internal = {"key_a": "_secret_key_a", "key_b": "_secret_key_b", "kinds": "_secret_kinds"}
     chosen = candidates(docs, [r for r in rules if trigram_query(r.regex)]).withColumnsRenamed(internal)
-    keyed = docs.drop("secrets").select("*", *[k.alias(f"_secret_key_{x}") for k, x in zip(row_keys(), "ab")])
+    keyed = docs.drop(name).select("*", *[k.alias(f"_secret_key_{x}") for k, x in zip(row_keys(), "ab")])
     text, found = F.coalesce(F.col("text"), F.lit("")), []
     for rank, rule in enumerate(rules):
         asked = F.array_contains("_secret_kinds", rule.kind) if trigram_query(rule.regex) else F.rlike(text, F.lit(rule.regex))
         found.append(F.when(asked, _spans(text, rule, rank)).otherwise(F.array().cast(_SPANS)))
     joined = keyed.join(chosen, ["_secret_key_a", "_secret_key_b"], "left")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.drop("secrets").columns], F.array_sort(F.concat(*found)).alias("secrets"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.drop(name).columns], F.array_sort(F.concat(*found)).alias(name))
 
 
 def span_text(spans):
@@ -226,3 +226,12 @@ def masked_text(text, spans, mask="[secret]"):
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     masked = F.aggregate(spans, first, add, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
     return F.when(F.size(spans) > 0, masked).otherwise(text)
+
+
+def without_secrets(docs, rules=RULES, mask="[secret]"):
+    """The documents, all columns, with secrets masked in ``text``; ``n_chars``, where there, counts the new text."""
+    found = find_secrets(docs, rules, "_spans").withColumn("_masked", masked_text(F.col("text"), F.col("_spans"), mask))
+    changed = {"text": F.col("_masked")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("_spans") > 0, F.char_length("_masked")).otherwise(F.col("n_chars"))
+    return found.select(*[changed[c].cast(kind).alias(c) if c in changed else F.col(f"`{c}`") for c, kind in docs.dtypes])
