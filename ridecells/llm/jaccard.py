@@ -13,9 +13,10 @@ the links found give components. Then pairs of all members, but only those that
 lie in different components, so large groups of near copies never meet in all
 pairs and yet no link that joins two components is lost.
 
-The order only decides how many candidates arise: shingles that many documents
-of some batch share come last, by how often, the others by their hash. At most
-``MOST_FREQUENT`` of them are known to all tasks.
+The order only decides how many candidates arise: frequent shingles come last,
+by how often, the others by their hash. Frequent are those that several
+documents of one batch share, and those that stand in many prefixes under the
+order so far. Of either kind ``MOST_FREQUENT`` at most are known to all tasks.
 
 Nulls and texts without words have an empty set and are linked with nothing.
 Rows with a null id take part; a component of such rows alone has a null id.
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 
 from ridecells.llm.common import KEYS, arrow_batch, arrow_schema, row_keys, stored
 
-#: Frequent shingles that are put last; a bound of what is sent to every task.
+#: Frequent shingles of a kind that are put last; a bound of what is sent to every task.
 MOST_FREQUENT = 1 << 17
+#: Prefixes that share a shingle before it counts as frequent.
+_PREFIX_SHARE = 16
 #: Documents of one batch that share a shingle before it is counted as frequent.
 _BATCH_SHARE = 3
 _BATCH_HASHES = 2_000_000
@@ -122,14 +125,34 @@ def _digests(docs, size):
     return stored(docs.select(*row_keys(), "doc_id", "text").mapInArrow(digest, layout), "shingle-digests")
 
 
-def _prefixes(docs, size, percent, last, ranks):
-    """Stored rows (set_key, gid, n, prefix), equal sets of a batch once."""
+class _Order:
+    """Frequent shingles, known to all tasks, and how often each was seen."""
+
+    def __init__(self, spark, counts):
+        rows = sorted(counts.items())
+        self.rows = spark.sparkContext.broadcast((np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.uint64)))
+
+    def first(self, own, n):
+        """The first n of a set's shingles, sorted by hash."""
+        frequent, times = self.rows.value
+        place = own >> np.uint64(1)
+        if len(frequent):
+            at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+            place = np.where(frequent[at] == own, np.uint64(1 << 63) + times[at], place)
+        return own[np.argsort(place, kind="stable")[:n]].view(np.int64)
+
+
+def _most(counted):
+    """Shingle to how often, for the most frequent ones."""
+    rows = counted.orderBy(F.desc("times"), "shingle").limit(MOST_FREQUENT).collect()
+    return {r["shingle"] % (1 << 64): r["times"] for r in rows}
+
+
+def _prefixes(docs, size, percent, order):
+    """Rows (set_key, gid, n, prefix), equal sets of a batch once."""
     layout = "set_key binary, gid bigint, n bigint, prefix array<bigint>"
-    spark = docs.sparkSession
-    order = spark.sparkContext.broadcast((last, ranks))
 
     def cut(batches):
-        last, ranks = order.value
         for batch in batches:
             out, seen = [], set()
             for text in batch.column(0).to_pylist():
@@ -138,17 +161,13 @@ def _prefixes(docs, size, percent, last, ranks):
                 if not len(own) or key in seen:
                     continue
                 seen.add(key)
-                place = own >> np.uint64(1)
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, own), len(last) - 1)
-                    place = np.where(last[at] == own, np.uint64(1 << 63) + ranks[at], place)
-                prefix = own[np.argsort(place)[:_prefix_size(len(own), percent)]].view(np.int64)
+                prefix = order.first(own, _prefix_size(len(own), percent))
                 gid = xxhash.xxh3_64_intdigest(prefix.tobytes() + len(own).to_bytes(8, "little")) - (1 << 63)
                 out.append((key, gid, len(own), prefix))
             yield arrow_batch(out, schema)
 
     schema = arrow_schema(layout)
-    return stored(docs.select("text").mapInArrow(cut, layout), "prefixes")
+    return docs.select("text").mapInArrow(cut, layout)
 
 
 def _fits(percent, n, other, place, other_place):
@@ -243,9 +262,11 @@ def near_duplicates(docs, size=5, percent=80):
     digests = _digests(docs, size)
     rows = digests.where(F.col("set_key").isNotNull()).select("key_a", "key_b", "doc_id", "n", "set_key")
     frequent = digests.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("times").alias("times"))
-    most = np.array([tuple(r) for r in frequent.orderBy(F.desc("times"), "shingle").limit(MOST_FREQUENT).collect()], np.int64).reshape(-1, 2)
-    most = most[np.argsort(most[:, 0].view(np.uint64))]
-    prefixes = _prefixes(docs, size, percent, most[:, 0].copy().view(np.uint64), most[:, 1].astype(np.uint64))
+    counts = _most(frequent)
+    spread = _prefixes(docs, size, percent, _Order(docs.sparkSession, counts)).select(F.explode("prefix").alias("shingle"))
+    spread = spread.groupBy("shingle").agg(F.count("*").alias("times")).where(F.col("times") > _PREFIX_SHARE)
+    order = _Order(docs.sparkSession, {**counts, **_most(spread)})
+    prefixes = stored(_prefixes(docs, size, percent, order), "prefixes")
 
     owners = rows.where("n > 0").groupBy("set_key").agg(
         F.min(F.struct("key_a", "key_b")).alias("owner"),
@@ -254,13 +275,17 @@ def near_duplicates(docs, size=5, percent=80):
     classes = stored(prefixes.select("set_key", "gid").distinct(), "classes")
     groups = prefixes.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     postings = stored(groups.select("gid", "n", F.posexplode("prefix").alias("place", "shingle")), "prefix-postings")
-    lists = stored(postings.groupBy("shingle").agg(F.count("*").alias("members"), F.min(F.struct("n", "gid", "place")).alias("leader"))
-                   .where("members > 1").select("shingle", "leader"), "lists")
+    lists = stored(postings.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1"), "lists")
     shared = stored(postings.join(lists, "shingle"), "shared")
 
     # First round: each group against the leaders of its shingles, each class against the first of its group.
+    # A shingle's leader is the group whose shingles have most members: the text that near copies were made of.
+    central = stored(shared.groupBy("gid").agg((F.sum("members") / F.first("n")).alias("central")), "central")
+    leaders = shared.join(central, "gid").groupBy("shingle").agg(F.max(F.struct("central", "gid", "n", "place")).alias("leader"))
+    shared = shared.drop("members")
+    led = shared.join(stored(leaders, "leaders"), "shingle")
     other = {"gid": F.col("leader.gid"), "n": F.col("leader.n"), "place": F.col("leader.place")}
-    pairs = shared.where(F.col("gid") != other["gid"]).where(_fits(percent, F.col("n"), other["n"], F.col("place"), other["place"]))
+    pairs = led.where(F.col("gid") != other["gid"]).where(_fits(percent, F.col("n"), other["n"], F.col("place"), other["place"]))
     pairs = _counted(pairs.select("gid", "n", other["gid"].alias("other_gid"), other["n"].alias("other_n")))
     firsts = stored(classes.groupBy("gid").agg(F.min("set_key").alias("first"), F.count("*").alias("members")), "group-firsts")
     across = pairs.join(firsts.select("gid", F.col("first").alias("a")), "gid").join(
@@ -274,7 +299,7 @@ def near_duplicates(docs, size=5, percent=80):
     labelled = stored(classes.join(labels.toDF("set_key", "label"), "set_key", "left").select(
         "gid", "set_key", F.coalesce("label", "set_key").alias("label")), "labelled")
     spans = stored(labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "group-labels")
-    marked = stored(shared.drop("leader").join(spans, "gid"), "marked")
+    marked = stored(shared.join(spans, "gid"), "marked")
     opened = stored(marked.groupBy("shingle").agg(F.min("low").alias("least"), F.max("high").alias("most"))
                     .where(F.col("least") != F.col("most")).select("shingle"), "open-lists")
     marked = stored(marked.join(opened, "shingle"), "open-postings")
