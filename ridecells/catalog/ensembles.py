@@ -15,6 +15,19 @@ def _up_to(field, value, if_so, if_not):
     return _split(field, "lessOrEqual", "greaterThan", value, if_so, if_not)
 
 
+# The zips that the two-tree ensemble declares.
+ZIPS = (
+    10119, 10003, 10012, 10014, 10020, 10010, 10022, 10016, 10023, 10024, 10028, 10065, 10021,
+    10075, 10036, 10018, 10011, 10019, 10128, 11430, 10009, 10111, 10025, 10013, 11371, 10167,
+    10173, 10165, 10154, 11369, 10001, 10017, 10007, 10174, 10278, 10002, 10168, 10112, 10004,
+    11201, 10282, 10006, 10038, 11211, 10026, 11217, 10069, 10029, 10199, 10170, 10115, 10280,
+    11106, 11101, 11222, 11104, 10044, 11103, 10035, 11231, 10103, 10037, 10027, 11109, 11215,
+    11105, 11205, 11206, 11102, 10031, 10005, 10032, 10030, 10033, 11370, 11216, 11226, 11221,
+    11225, 11213, 11377, 11237, 11232, 11372, 11218, 11374, 11373, 10040, 11238, 11420, 11436,
+    10453, 11415, 10034, 11207, 10601, 7114, 7030, 7302, 11368, 6878, 11354, 11375, 7307, 7086,
+    11385, 10462, 11413, 11378, 7011, 11212, 7087, 10039,
+)
+
 # Splits and scores of the two-tree ensemble over zip, weekday
 # and hour.
 ZIP_ENSEMBLE = Ensemble(
@@ -37,7 +50,7 @@ ZIP_ENSEMBLE = Ensemble(
                 _is_not(10023, Leaf(2.103235294117647), Leaf(3.7373737373737375))),
             Leaf(3.9565217391304346)),
     ],
-    categories={},
+    categories={"zip": ZIPS},
 )
 
 # An exchange document of our own over the six features of the forest.

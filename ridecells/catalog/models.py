@@ -4,15 +4,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ridecells.catalog import sql
-from ridecells.catalog.ensembles import DEMAND_DOCUMENT, ZIP_ENSEMBLE
+from ridecells.catalog.ensembles import DEMAND_DOCUMENT, ZIP_ENSEMBLE, ZIPS
 from ridecells.catalog.streams import Place
-from ridecells.catalog.tables import training_table, zip_training_table
+from ridecells.catalog.tables import RADIUS, training_table, zip_training_table
 from ridecells.functions.times import hour_of_day, parse_weather_time, weekday_from_one
 from ridecells.models import ensemble, forest
 from ridecells.operators.cleaning import enrich_rides
 from ridecells.plans import batch
 from ridecells.plans import derived_tables as derived
 from ridecells.schemas import CELL_COUNT, RIDE_FILE
+from ridecells.session import stored
 from ridecells.sources import files
 from ridecells.streaming import jobs
 
@@ -36,36 +37,52 @@ def assembled_features(spark, folder):
 
 
 def trained_forest(spark, folder):
-    """Predictions of the full-size forest for the table it was trained on."""
-    counts = training_table(spark, folder)
+    """Facts about the full-size forest's predictions for the table it was trained on."""
+    counts = stored(training_table(spark, folder), "counts")
     _, model = forest.train_forest(counts)
-    return forest.score(model, counts)
+    return forest.fit_facts(forest.score(model, counts))
+
+
+def spread_training_table(spark, folder):
+    rides = derived.dated_rides(derived.spread_rides(spark, folder))
+    return batch.training_table(rides, derived.weather_reports(spark, folder))
+
+
+def trained_spread_forest(spark, folder):
+    """The same for rides spread over all cells of the grid."""
+    counts = stored(spread_training_table(spark, folder), "counts")
+    _, model = forest.train_forest(counts)
+    return forest.fit_facts(forest.score(model, counts))
 
 
 def trained_categorical_forest(spark, folder):
-    counts = zip_training_table(spark, folder)
-    model = forest.train_categorical(counts)
-    return forest.score(model, counts).select("zip", "weekday", "hour", "count", "prediction")
+    counts = stored(zip_training_table(spark, folder), "counts")
+    return forest.fit_facts(forest.score(forest.train_categorical(counts), counts))
+
+
+def trained_stump(spark, folder):
+    """The two leaves of a single split: their means and rows."""
+    counts = stored(training_table(spark, folder), "counts")
+    return forest.score(forest.train_stump(counts), counts).groupBy("prediction").agg(F.count("*").alias("rows"))
 
 
 def train_save_and_load(spark, folder):
-    """A small forest trained from files and saved; counts of equal scores."""
+    """The forest trained from files and saved; counts of equal scores."""
     place = Place(spark, "train-save")
     rides, weather = place.path("rides"), place.path("weather")
     derived.ride_file(spark, folder).write.option("header", True).csv(rides)
     derived.weather_file(spark, folder).write.option("header", True).csv(weather)
-    model = batch.train_and_save(spark, rides, weather, place.path("model"), trees=4, depth=4,
-                                 rides_schema=RIDE_FILE)
+    model = batch.train_and_save(spark, rides, weather, place.path("model"), rides_schema=RIDE_FILE)
     loaded = forest.load_model(place.path("model"))
     counts = batch.training_table_from_files(spark, rides, weather, RIDE_FILE)
     return forest.parity(forest.score(model, counts), forest.score(loaded, counts), _KEY)
 
 
 def forest_parity(spark, folder):
-    """A Spark forest against the same trees as column expressions."""
+    """A Spark forest against the same trees as a column of the library."""
     place = Place(spark, "parity")
-    counts = training_table(spark, folder)
-    _, model = forest.train_forest(counts, trees=10, depth=5)
+    counts = stored(training_table(spark, folder), "counts")
+    _, model = forest.train_forest(counts)
     trees = ensemble.ensemble_of_forest(
         spark, model.stages[-1], place.path("forest"), forest.FEATURES)
     complete = counts.dropna(subset=forest.FEATURES)
@@ -96,21 +113,39 @@ def weather_features(spark, folder):
 def predicted_demand(spark, folder):
     """Every report times all 100,000 cells, scored; summed up per report."""
     score = _demand_scorer(spark, Place(spark, "demand"))
-    predicted = jobs.predicted_demand(derived.weather_records(spark, folder), score)
+    return _per_report(jobs.predicted_demand(derived.weather_records(spark, folder), score))
+
+
+def _per_report(predicted):
     return predicted.groupBy("datetime").agg(
         F.count("*").alias("cells"), F.sum("count").alias("total"), F.max("count").alias("most"))
 
 
 def predicted_demand_by_forest(spark, folder):
-    """A Spark forest's prediction for the cells seen in training."""
-    counts = training_table(spark, folder)
-    _, model = forest.train_forest(counts, trees=10, depth=5)
-    cells = enrich_rides(derived.busy_rides(spark, folder))
-    return jobs.predicted_demand(
-        derived.weather_records(spark, folder), lambda rows: forest.score(model, rows), cells)
+    """Every report times all cells, scored by the full-size Spark forest.
+
+    Per report the cells, and those whose count lies within that of the labels.
+    """
+    counts = stored(training_table(spark, folder), "counts")
+    _, model = forest.train_forest(counts)
+    predicted = jobs.predicted_demand(
+        derived.weather_records(spark, folder), lambda rows: forest.score(model, rows))
+    bounds = counts.agg(F.min("count").alias("low"), F.max("count").alias("high"))
+    return predicted.crossJoin(F.broadcast(bounds)).groupBy("datetime").agg(  # one row
+        F.count("*").alias("cells"), F.count_if(F.col("count").between(F.col("low"), F.col("high"))).alias("within"))
 
 
 def prediction_stream(spark, folder):
+    """The prediction job over all reports and cells; what it wrote, summed up per report."""
+    place = Place(spark, "prediction-stream")
+    place.publish(derived.weather_records(spark, folder), "weather")
+    jobs.run_prediction(
+        spark, "weather", "predicted", _demand_scorer(spark, place), checkpoint=place.path("c"),
+        **place.topic).awaitTermination()
+    return _per_report(place.values("predicted", CELL_COUNT))
+
+
+def prediction_stream_known_cells(spark, folder):
     """The prediction job for the cells seen in training and rain-minute reports."""
     place = Place(spark, "prediction-stream")
     place.publish(derived.weather_records(spark, folder), "weather")
@@ -166,6 +201,17 @@ def _predictions(cells, cell):
           FROM {_FEATURES} f, {cells}) x)"""
 
 
+# The training table over spread rides: the same text with the other rides in it.
+_SPREAD_TRAINING = sql.TRAINING.replace(sql.BUSY, sql.SPREAD)
+# Of all splits between neighbouring values of a feature, that with the least squared error.
+_STUMP = f"""WITH t AS (SELECT * FROM {sql.TRAINING} t WHERE {_COMPLETE}),
+    v AS ({" UNION ALL ".join(f"SELECT '{f}' AS f, {f} AS v, count(*) AS n, sum(count) AS s FROM t GROUP BY {f}" for f in forest.FEATURES)}),
+    c AS (SELECT sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER p AS all_n, sum(s) OVER p AS all_s
+          FROM v WINDOW w AS (PARTITION BY f ORDER BY v), p AS (PARTITION BY f)),
+    best AS (SELECT * FROM c WHERE n < all_n ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC LIMIT 1)
+    SELECT CAST(s AS DOUBLE) / n AS prediction, CAST(n AS BIGINT) AS rows FROM best
+    UNION ALL SELECT CAST(all_s - s AS DOUBLE) / (all_n - n), CAST(all_n - n AS BIGINT) FROM best"""
+
 QUERIES = [
     ("assembled_features", assembled_features,
      f"""SELECT CAST(hour AS DOUBLE) AS hour, CAST(weekday AS DOUBLE) AS weekday,
@@ -174,8 +220,13 @@ QUERIES = [
          CAST(cell_index_x AS DOUBLE) AS cell_index_x,
          CAST(cell_index_y AS DOUBLE) AS cell_index_y, "count"
          FROM {sql.TRAINING} t WHERE {_COMPLETE}"""),
-    ("trained_forest", trained_forest, None),
-    ("trained_categorical_forest", trained_categorical_forest, None),
+    ("trained_forest", trained_forest,
+     f"SELECT count(*) AS rows, count(*) AS within, TRUE AS better FROM {sql.TRAINING} t WHERE {_COMPLETE}"),
+    ("trained_spread_forest", trained_spread_forest,
+     f"SELECT count(*) AS rows, count(*) AS within, TRUE AS better FROM {_SPREAD_TRAINING} t WHERE {_COMPLETE}"),
+    ("trained_categorical_forest", trained_categorical_forest,
+     f"SELECT count(*) AS rows, count(*) AS within, TRUE AS better FROM {sql.zip_counts(RADIUS)} t"),
+    ("trained_stump", trained_stump, _STUMP),
     ("train_save_and_load", train_save_and_load,
      f"""SELECT count(*) AS rows, CAST(0 AS BIGINT) AS apart FROM {sql.TRAINING} t
          WHERE {_COMPLETE}"""),
@@ -183,7 +234,7 @@ QUERIES = [
      f"""SELECT count(*) AS rows, CAST(0 AS BIGINT) AS apart FROM {sql.TRAINING} t
          WHERE {_COMPLETE}"""),
     ("ensemble_scores", ensemble_scores,
-     f"""SELECT *, {_ZIP_SCORE} AS prediction FROM (SELECT event_id,
+     f"""SELECT *, CASE WHEN zip IN {ZIPS} THEN {_ZIP_SCORE} END AS prediction FROM (SELECT event_id,
          CAST(10001 + user_id % 150 AS INTEGER) AS zip, {sql.weekday1('ts')} AS weekday,
          {sql.hour('ts')} AS hour FROM events) e"""),
     ("document_ensemble_scores", document_ensemble_scores,
@@ -193,8 +244,13 @@ QUERIES = [
      f"""SELECT datetime, count(*) AS cells, CAST(sum("count") AS BIGINT) AS total,
          max("count") AS most FROM {_predictions('range(100000) c(id)', 'id')} p
          GROUP BY datetime"""),
-    ("predicted_demand_by_forest", predicted_demand_by_forest, None),
+    ("predicted_demand_by_forest", predicted_demand_by_forest,
+     f"SELECT datetime, CAST(100000 AS BIGINT) AS cells, CAST(100000 AS BIGINT) AS within FROM {_FEATURES} f WHERE {_COMPLETE}"),
     ("prediction_stream", prediction_stream,
+     f"""SELECT datetime, count(*) AS cells, CAST(sum("count") AS BIGINT) AS total,
+         max("count") AS most FROM {_predictions('range(100000) c(id)', 'id')} p
+         GROUP BY datetime"""),
+    ("prediction_stream_known_cells", prediction_stream_known_cells,
      f"""SELECT datetime, cell_id, "count" FROM {_predictions(_BUSY_CELLS + ' c', 'cell_id')} p
          WHERE minute(valid) = 51"""),
     ("scored_file", scored_file, f"SELECT *, {_DEMAND} AS prediction FROM {sql.TRAINING} t"),

@@ -17,7 +17,7 @@ from ridecells.schemas import (
     CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, RIDE_FILE, WEATHER_REPORT,
 )
 from ridecells.session import shared_folder
-from ridecells.sinks.tables import index_documents, replace_table, write_csv, write_sorted_csv
+from ridecells.sinks.tables import index_documents, replace_table, write_csv
 from ridecells.sinks.topics import publish_rides, write_topic
 from ridecells.sources import files, topics
 from ridecells.streaming import jobs
@@ -194,7 +194,7 @@ def sorted_ride_file(spark, folder):
     file before it. The window runs over one row per part file.
     """
     place = Place(spark, "sorted-rides")
-    write_sorted_csv(derived.ride_file(spark, folder), place.path("sorted"), " pickup_datetime")
+    batch.sort_rides(spark, _ride_csv(spark, folder, place), place.path("sorted"), schema=RIDE_FILE)
     rides = spark.read.option("header", True).csv(place.path("sorted"))
     spans = rides.select(
         F.col("_metadata.file_name").alias("file"), F.col("pickup_datetime").alias("time"),

@@ -40,7 +40,7 @@ def window_counts(spark, folder):
 def wide_window_counts(spark, folder):
     """Two hours every 45 minutes: the slide does not divide the size."""
     windows = counts.count_by_window(_celled(spark, folder), 120, 45)
-    return counts.stamp_windows(counts.popular(windows, 20))
+    return counts.stamp_windows(counts.popular(windows, 1))
 
 
 def enriched_rides(spark, folder):
@@ -260,7 +260,7 @@ _WIDE = f"""(SELECT cell_id, w AS window_start, w + INTERVAL 120 MINUTE AS windo
 QUERIES = [
     ("popular_cells", popular_cells, _stamped(sql.windows(sql.cells(sql.BUSY)), 2)),
     ("window_counts", window_counts, _stamped(sql.windows(sql.cells(sql.BUSY)))),
-    ("wide_window_counts", wide_window_counts, _stamped(_WIDE, 20)),
+    ("wide_window_counts", wide_window_counts, _stamped(_WIDE)),
     ("enriched_rides", enriched_rides,
      f"SELECT event_id, lat, lon, cell_id FROM {sql.cells(sql.SPREAD)} r"),
     ("cleaned_rides", cleaned_rides,

@@ -6,11 +6,13 @@ from ridecells.schemas import RIDE_TIME_FORMAT, WEATHER_TIME_FORMAT
 
 
 def parse_ride_time(text):
-    return F.to_timestamp(F.col(text), RIDE_TIME_FORMAT)
+    """Null where the text is no such time."""
+    return F.try_to_timestamp(F.col(text), F.lit(RIDE_TIME_FORMAT))
 
 
 def parse_weather_time(text):
-    return F.to_timestamp(F.col(text), WEATHER_TIME_FORMAT)
+    """Null where the text is no such time."""
+    return F.try_to_timestamp(F.col(text), F.lit(WEATHER_TIME_FORMAT))
 
 
 def weekday_from_one(ts):

@@ -1,14 +1,21 @@
-"""Tree ensembles as column expressions.
+"""Tree ensembles as columns.
 
-A tree is nested ``when`` expressions, an ensemble the mean of its trees. So
-scoring is generated JVM code in the middle of a plan, on batches and streams.
+A small ensemble is the mean of nested ``when`` expressions: generated JVM code
+in the middle of a plan, on batches and streams. Past ``MOST_TESTS`` tests such
+an expression no longer fits generated code; then the trees are flat arrays,
+walked for a batch of rows at once by numpy in a vectorised UDF. Both give the
+same scores.
 """
 
 import xml.etree.ElementTree as xml
 from collections import namedtuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+MOST_TESTS = 200
+
 # A node is a leaf with a score, or a list of (test, node) tried in order. A
 # test is (field, operator, value); None always holds.
 Leaf = namedtuple("Leaf", "score")
@@ -42,12 +49,84 @@ def tree_column(node):
     return chain.otherwise(F.lit(None).cast("double"))
 
 
+# Which signs of (input - value) an operator accepts, as bits for -1, 0 and 1.
+_SIGNS = {"equal": 2, "notEqual": 5, "lessThan": 1, "lessOrEqual": 3, "greaterThan": 4, "greaterOrEqual": 6}
+
+
+class FlatTrees:
+    """Trees over numbers as arrays: a node's field, value, signs, next nodes and score."""
+
+    def __init__(self, trees, fields):
+        self.fields, self.nodes, self.depth = list(fields), [], 0
+        self.nowhere = self._add(0, 0.0, 0, None, None, np.nan)
+        self.roots = [self._flatten(tree, 0) for tree in trees]
+        columns = zip(*self.nodes)
+        self.field, self.value, self.signs, self.yes, self.no, self.score = map(np.array, columns)
+        self.nodes = None
+
+    def _add(self, field, value, signs, yes, no, score):
+        here = len(self.nodes)
+        self.nodes.append((field, value, signs, here if yes is None else yes, here if no is None else no, score))
+        return here
+
+    def _flatten(self, node, depth):
+        self.depth = max(self.depth, depth)
+        if isinstance(node, Leaf):
+            return self._add(0, 0.0, 0, None, None, float(node.score))
+        following, last = self.nowhere, len(node.choices) - 1
+        for place in range(last, -1, -1):
+            test, child = node.choices[place]
+            below = self._flatten(child, depth + place + 1)
+            if test is None:
+                following = below
+            else:
+                field, operator, value = test
+                following = self._add(self.fields.index(field), float(value), _SIGNS[operator], below, following, np.nan)
+        return following
+
+    def mean(self, inputs):
+        """Mean score of each row; not a number where no branch holds, as for a null."""
+        rows, total = np.arange(len(inputs)), np.zeros(len(inputs))
+        for root in self.roots:
+            at = np.full(len(inputs), root)
+            for _ in range(self.depth + 1):
+                apart = inputs[rows, self.field[at]] - self.value[at]
+                known = ~np.isnan(apart)
+                sign = np.left_shift(1, np.where(known, np.sign(apart), 0).astype(np.int64) + 1)
+                at = np.where(known & (self.signs[at] & sign > 0), self.yes[at], self.no[at])
+            total = total + self.score[at]
+        return total / len(self.roots)
+
+
+def _flat_column(ensemble):
+    fields = sorted(set().union(*[_fields(tree) for tree in ensemble.trees]))
+    flat = FlatTrees(ensemble.trees, fields or [""])
+
+    @F.pandas_udf("double")
+    def mean(inputs: pd.DataFrame) -> pd.Series:
+        scores = flat.mean(inputs.to_numpy(float))
+        return pd.Series(scores).astype("Float64").mask(np.isnan(scores))
+
+    columns = [F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(fields)]
+    return mean(F.struct(*(columns or [F.lit(0.0).alias("f0")])))
+
+
+def _tests(node):
+    if isinstance(node, Leaf):
+        return []
+    return [test for test, _ in node.choices if test] + [t for _, child in node.choices for t in _tests(child)]
+
+
 def ensemble_column(ensemble):
     """Mean of the trees; null if a category has a value the model never saw."""
-    total = tree_column(ensemble.trees[0])
-    for tree in ensemble.trees[1:]:
-        total = total + tree_column(tree)
-    mean = total / float(len(ensemble.trees))
+    tests = [t for tree in ensemble.trees for t in _tests(tree)]
+    if len(tests) > MOST_TESTS and not any(isinstance(value, str) for _, _, value in tests):
+        mean = _flat_column(ensemble)
+    else:
+        total = tree_column(ensemble.trees[0])
+        for tree in ensemble.trees[1:]:
+            total = total + tree_column(tree)
+        mean = total / float(len(ensemble.trees))
     for field, values in ensemble.categories.items():
         mean = F.when(F.col(field).isin(list(values)), mean)
     return mean
@@ -67,7 +146,10 @@ def read_ensemble(spark, path):
     The document is a model description of a few kilobytes to megabytes, read
     once where the plan is made.
     """
-    document = xml.fromstring(spark.read.text(path, wholetext=True).first()["value"])
+    files = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(files) != 1:
+        raise ValueError(f"{path} holds {'no document' if not files else 'several documents'}")
+    document = xml.fromstring(files[0]["value"])
     kinds, categories = {}, {}
     for field in document.iter():
         if _local(field) != "DataField":
@@ -123,7 +205,8 @@ def ensemble_of_forest(spark, forest_model, path, features):
     """Ensemble of a fitted Spark ML forest with continuous features.
 
     The model is saved to ``path`` and its node table read back: one row per
-    tree node, at most trees * 2 ** (depth + 1), which becomes the expression.
+    tree node, at most trees * 2 ** (depth + 1). A split by a set of categories
+    is no threshold and is refused.
     """
     forest_model.write().overwrite().save(path)
     nodes = {}
@@ -131,8 +214,11 @@ def ensemble_of_forest(spark, forest_model, path, features):
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild",
         "nodeData.rightChild", "nodeData.split.featureIndex",
         F.col("nodeData.split.leftCategoriesOrThreshold").alias("threshold"),
+        F.col("nodeData.split.numCategories").alias("categories"),
     )
-    for row in stored.toLocalIterator():
+    for row in stored.collect():
+        if row["leftChild"] >= 0 and row["categories"] >= 0:
+            raise ValueError("a forest with categorical splits")
         nodes.setdefault(row["treeID"], {})[row["id"]] = row
 
     def build(tree, number):

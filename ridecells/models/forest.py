@@ -10,6 +10,7 @@ from ridecells.functions.numbers import clean_number, round_half_up, within
 from ridecells.functions.times import hour_of_day, weekday_from_one
 from ridecells.functions.weather import rain_bucket, temperature_bucket
 
+# The features in the order of the model.
 FEATURES = ["hour", "weekday", "temperature", "precipitation", "cell_index_x", "cell_index_y"]
 
 # Size and seed of the forest.
@@ -48,6 +49,23 @@ def train_categorical(counts, category="zip", numeric=("weekday", "hour"), trees
     return Pipeline(stages=stages).fit(counts)
 
 
+def train_stump(counts, seed=SEED):
+    """One split of one tree over all rows and features: what a search over all splits finds."""
+    stump = forest(1, 1, seed).setBootstrap(False).setFeatureSubsetStrategy("all").setMaxBins(512)
+    return Pipeline(stages=[assembler(), stump]).fit(counts)
+
+
+def fit_facts(scored, label="count", prediction="prediction"):
+    """Rows, predictions within the labels' range, and whether they are no worse than the labels' mean."""
+    bounds = scored.agg(F.min(label).alias("low"), F.max(label).alias("high"))
+    both = scored.crossJoin(F.broadcast(bounds))  # one row
+    error = F.sum(F.pow(F.col(label) - F.col(prediction), F.lit(2)))
+    return both.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col(prediction).between(F.col("low"), F.col("high"))).alias("within"),
+        (error <= F.var_pop(label) * F.count("*") + 1e-9).alias("better"))
+
+
 def save_model(model, path):
     model.write().overwrite().save(path)
 

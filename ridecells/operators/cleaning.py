@@ -73,8 +73,11 @@ def hourly_weather(weather):
         hour_start("valid").alias("hour_ts"), minute_of_hour("valid").alias("minute"),
         clean_number("tmpf").alias("fahrenheit"), clean_number("p01i").alias("precip_in"),
     )
-    rain = readings.filter(F.col("minute") == RAIN_MINUTE).select("hour_ts", "precip_in")
-    return rain.join(mean_temperature_by_hour(readings), "hour_ts")
+    # One scan: the few readings of minute 51 are kept beside the hour's mean.
+    rain = F.collect_list(F.when(F.col("minute") == RAIN_MINUTE, F.struct("precip_in")))
+    hours = mean_temperature_by_hour(readings, rain.alias("rain"))
+    return hours.select("hour_ts", F.explode("rain").alias("r"), "fahrenheit").select(
+        "hour_ts", "r.precip_in", "fahrenheit")
 
 
 def bucket_hourly_weather(hourly):

@@ -70,8 +70,9 @@ def count_zip_conditions(merged):
     return merged.withColumn("count", F.lit(1)).groupBy(*keys).agg(F.sum("count").alias("count"))
 
 
-def mean_temperature_by_hour(weather, hour="hour_ts", fahrenheit="fahrenheit"):
-    return weather.groupBy(hour).agg(F.avg(fahrenheit).alias(fahrenheit))
+def mean_temperature_by_hour(weather, *more, hour="hour_ts", fahrenheit="fahrenheit"):
+    """Mean per hour, beside any further aggregates."""
+    return weather.groupBy(hour).agg(F.avg(fahrenheit).alias(fahrenheit), *more)
 
 
 def rows_meeting(df, condition):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ridecells.functions.grid import cell_x, cell_y
 from ridecells.functions.times import hour_of_day, weekday_from_one
 from ridecells.schemas import GRID_CELLS, MISSING_ZIP
+from ridecells.session import stored
 
 # Rows of at most three small columns; about 50 MB as a hash table.
 BROADCAST_ROWS = 500_000
@@ -15,9 +16,13 @@ BROADCAST_ROWS = 500_000
 EARTH_MILES = 6371.0 * 0.621371
 
 
-def few_rows(df, most=BROADCAST_ROWS):
-    """Whether a side may be broadcast, by counting it."""
-    return df.count() <= most
+def sized(df, most=BROADCAST_ROWS):
+    """The side, stored once, and whether it may be broadcast, by its rows.
+
+    What is counted is what is joined: neither reads the side's inputs again.
+    """
+    kept = stored(df, "side")
+    return kept, kept.count() <= most
 
 
 def join_weather(rides, weather, most=BROADCAST_ROWS):
@@ -27,8 +32,8 @@ def join_weather(rides, weather, most=BROADCAST_ROWS):
     small it goes to every task and the rides are not moved. Otherwise the
     rides are shuffled by hour, and adaptive execution splits hot hours.
     """
-    side = F.broadcast(weather) if few_rows(weather, most) else weather
-    return rides.join(side, "hour_ts").drop("hour_ts")
+    side, small = sized(weather, most)
+    return rides.join(F.broadcast(side) if small else side, "hour_ts").drop("hour_ts")
 
 
 def weather_counts(rides, weather, most=BROADCAST_ROWS):
@@ -41,7 +46,8 @@ def weather_counts(rides, weather, most=BROADCAST_ROWS):
     fall together in an hour and buckets carry their number along.
     """
     keys = ["cell_id", "weekday", "hour", "temperature", "precipitation"]
-    if few_rows(weather, most):
+    weather, small = sized(weather, most)
+    if small:
         # Weekday and hour come from the few weather rows, not from each ride.
         timed = weather.withColumn("weekday", weekday_from_one("hour_ts")).withColumn(
             "hour", hour_of_day("hour_ts"))
@@ -72,24 +78,32 @@ def with_all_cells(weather, cells=None, most=GRID_CELLS):
     rows and adaptive execution, which sees only their own size, would leave
     them in one task. The cells are then made inside each row and flow on. A
     table of ``cells`` (column ``cell_id``, such as those seen in training)
-    restricts them; a grid has 100,000 cells at most, which is checked.
+    restricts them to the ids in it that are cells of the grid, so at most
+    ``most`` ids are broadcast. A stream wants them stored (``known_cells``),
+    since it reads them at every trigger.
     """
     tasks = int(weather.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weather = weather.repartition(tasks)
     if cells is None:
         crossed = weather.withColumn("cell_id", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     else:
-        known = cells.select(F.col("cell_id").cast("int")).distinct()
-        if not few_rows(known, most):
-            raise ValueError("more cells than the grid has")
-        every = known.agg(F.sort_array(F.collect_set("cell_id")))
-        crossed = weather.withColumn("cell_id", F.explode(every.scalar()))
+        crossed = weather.crossJoin(F.broadcast(_grid_cells(cells, most)))
     return (
         crossed.withColumn("cell_index_x", cell_x("cell_id"))
         .withColumn("cell_index_y", cell_y("cell_id"))
     )
 
 
+def _grid_cells(cells, most=GRID_CELLS):
+    ids = cells.select(F.col("cell_id").cast("int").alias("cell_id"))
+    return ids.filter(F.col("cell_id").between(0, most - 1)).distinct()
+
+
+def known_cells(cells):
+    """The different cells of a table, stored: at most the grid's cells."""
+    return stored(_grid_cells(cells), "cells")
+
+
 def _unit_vector(lat, lon):
     phi, theta = F.radians(lat), F.radians(lon)
     return F.cos(phi) * F.cos(theta), F.cos(phi) * F.sin(theta), F.sin(phi)

@@ -1,5 +1,6 @@
 """Batch jobs from files to tables and models."""
 
+from ridecells.functions.text import without_leading_blank
 from ridecells.models.forest import DEPTH, SEED, TREES, save_model, train_forest
 from ridecells.operators.cleaning import (
     bucket_hourly_weather, clean_rides, clean_weather, clean_zip_rides, enrich_rides,
@@ -43,9 +44,11 @@ def train_and_save(spark, rides_path, weather_path, model_path, *, trees=TREES,
     return model
 
 
-def sort_rides(spark, source, target, column=" pickup_datetime", schema=None):
-    """Ride files in order of pick-up time."""
-    write_sorted_csv(read_csv(spark, source, schema), target, column)
+def sort_rides(spark, source, target, column="pickup_datetime", schema=None):
+    """Ride files in order of pick-up time; names lose their leading blank."""
+    raw = read_csv(spark, source, schema)
+    named = raw.toDF(*[without_leading_blank(c) for c in raw.columns])
+    write_sorted_csv(named, target, column)
 
 
 def add_zip(rides, zips, radius_miles=1.0, lat="lat", lon="lon"):

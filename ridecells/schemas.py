@@ -71,7 +71,7 @@ DOCUMENT = _struct(
     ("cnt", LongType()),
 )
 
-# The 18 columns of a ride file, in file order.
+# The 18 columns of a ride file, in file order.
 RIDE_FILE = _struct(
     ("vendor_id", StringType()),
     ("pickup_datetime", StringType()),
@@ -102,6 +102,7 @@ WEATHER_FILE = _struct(
     ("p01i", DoubleType()),
 )
 
+# The fields of a reverse geocoder's answer.
 REVERSE_GEOCODE = _struct(
     ("place_id", IntegerType()),
     ("licence", StringType()),

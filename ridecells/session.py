@@ -42,3 +42,10 @@ def shared_folder(spark, name):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="ridecells-")
     return f"{base.rstrip('/')}/ridecells/{name}-{uuid.uuid4().hex}"
+
+
+def stored(frame, name):
+    """The frame, written once to a shared folder and read back."""
+    path = shared_folder(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -25,8 +25,8 @@ def load_rides(spark, path, schema=None):
     named = raw.toDF(*[without_leading_blank(c) for c in raw.columns])
     return named.select(
         F.col("pickup_datetime").try_cast("timestamp").alias("date"),
-        F.col("pickup_latitude").alias("lat"),
-        F.col("pickup_longitude").alias("lon"),
+        F.col("pickup_latitude").try_cast("double").alias("lat"),
+        F.col("pickup_longitude").try_cast("double").alias("lon"),
     )
 
 

@@ -11,6 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ridecells.functions.numbers import int_from_bytes
 from ridecells.schemas import avro_schema
 
+UNDATED = "records without a time"
+
 KEY_VALUE = StructType([
     StructField("key", StringType(), True),
     StructField("value", StringType(), True),
@@ -51,7 +53,9 @@ def read_topic(spark, topic, value_schema, *, fmt="kafka", options=None, key_typ
     ``options`` are connector options (``kafka.bootstrap.servers``, or
     ``path`` for files). Values are "json" or "avro", keys "text" or "int32"
     (four bytes). ``event_time`` is a timestamp column over the fields; it is
-    added as ``ts`` and, on a stream, carries the watermark.
+    added as ``ts`` and, on a stream, carries the watermark. Records without
+    such a time are dropped; a stream reports their number in its progress, as
+    ``dropped`` of "records without a time".
     """
     log = _open(spark, topic, fmt, options, streaming)
     records = log.select(
@@ -60,7 +64,10 @@ def read_topic(spark, topic, value_schema, *, fmt="kafka", options=None, key_typ
     if event_time is None:
         return records
     records = records.withColumn("ts", event_time)
-    return records.withWatermark("ts", delay) if streaming else records
+    if not streaming:
+        return records.filter(F.col("ts").isNotNull())
+    records = records.observe(UNDATED, F.count_if(F.col("ts").isNull()).alias("dropped"))
+    return records.filter(F.col("ts").isNotNull()).withWatermark("ts", delay)
 
 
 def read_topic_keys(spark, topic, *, fmt="kafka", options=None, key_type="string",
@@ -78,7 +85,7 @@ def read_whole_topic(spark, topic, value_schema=None, *, fmt="kafka", options=No
     """
     log = _open(spark, topic, fmt, options, streaming=False)
     if fmt == "kafka":
-        place = [F.col("partition").cast("string").alias("partition"), "offset"]
+        place = [F.col("partition"), "offset"]
     else:
         place = [
             F.col("_metadata.file_name").alias("partition"),

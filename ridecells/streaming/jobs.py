@@ -7,6 +7,9 @@ how records are stored in topics, "json" or "avro".
 A new run over an emptied sink takes a new one.
 """
 
+from functools import reduce
+
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ridecells.functions.text import cell_document
@@ -14,11 +17,12 @@ from ridecells.functions.times import minute_of_hour, parse_weather_time
 from ridecells.models.forest import predicted_counts, weather_features
 from ridecells.operators.cleaning import enrich_or_drop
 from ridecells.operators.counts import count_by_window, popular, stamp_windows
-from ridecells.operators.joins import BROADCAST_ROWS, with_all_cells
+from ridecells.operators.joins import BROADCAST_ROWS, known_cells, with_all_cells
 from ridecells.schemas import (
     CELLED_RIDE, POPULAR_COUNT, RAIN_MINUTE, RAW_RIDE, SLIDE_MINUTES, UNTIL_DONE,
     WEATHER_REPORT, WINDOW_MINUTES,
 )
+from ridecells.session import stored
 from ridecells.sinks.tables import index_documents
 from ridecells.sinks.topics import write_topic
 from ridecells.sources.topics import read_topic
@@ -86,6 +90,26 @@ def _worth_sharing(reports, most=BROADCAST_ROWS):
     return 0 < facts["kinds"] * 4 <= (facts["rows"] or 0) <= most
 
 
+INCOMPLETE = "reports without a time or reading"
+
+
+def complete_reports(weather, only_rain_minute=False):
+    """Reports with all their conditions, and the observation of those dropped.
+
+    A report without a readable time, or with a null reading, has no
+    prediction, whatever the scorer. A stream reports the number ``dropped``
+    in its progress, a batch in the observation, after an action.
+    """
+    timed = weather.withColumn("ts", parse_weather_time("datetime"))
+    if only_rain_minute:
+        timed = timed.filter(minute_of_hour("ts") == RAIN_MINUTE)
+    reports = weather_features(timed).select("datetime", *CONDITIONS)
+    lost = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in CONDITIONS])
+    observed = INCOMPLETE if weather.isStreaming else Observation(INCOMPLETE)
+    kept = reports.observe(observed, F.count_if(lost).alias("dropped")).filter(~lost)
+    return kept, (None if weather.isStreaming else observed)
+
+
 def predicted_demand(weather, scorer, cells=None, only_rain_minute=False):
     """Predicted count of every cell for every weather report, batch or stream.
 
@@ -96,12 +120,14 @@ def predicted_demand(weather, scorer, cells=None, only_rain_minute=False):
     The features of a report take few values (weekdays, hours, buckets). If a
     count shows that a batch of reports has few combinations of them, and is
     small enough to broadcast, each combination is scored once and handed to
-    its reports. Otherwise, and on a stream, each report is scored.
+    its reports. Otherwise, and on a stream, each report is scored. Incomplete
+    reports are left out (:func:`complete_reports`).
     """
-    timed = weather.withColumn("ts", parse_weather_time("datetime"))
-    if only_rain_minute:
-        timed = timed.filter(minute_of_hour("ts") == RAIN_MINUTE)
-    reports = weather_features(timed).select("datetime", *CONDITIONS)
+    reports, _ = complete_reports(weather, only_rain_minute)
+    if cells is not None:
+        cells = known_cells(cells)
+    if not weather.isStreaming:
+        reports = stored(reports, "reports")
     if weather.isStreaming or not _worth_sharing(reports):
         return predicted_counts(scorer(with_all_cells(reports, cells)))
     scored = scorer(with_all_cells(reports.select(*CONDITIONS).distinct(), cells)).alias("s")

@@ -57,8 +57,9 @@ def test_cells_beside_every_report(spark, rows):
     known = spark.createDataFrame([(250,), (3,), (250,)], "cell_id int")
     assert rows(joins.with_all_cells(reports, known)) == [
         ("a", 3, 3, 0), ("a", 250, 0, 1), ("b", 3, 3, 0), ("b", 250, 0, 1)]
-    with pytest.raises(ValueError):
-        joins.with_all_cells(reports, known, most=1)
+    beyond = known.union(spark.createDataFrame([(100_000,), (-1,), (None,)], "cell_id int"))
+    assert joins.with_all_cells(reports, beyond).count() == 4
+    assert rows(joins.known_cells(beyond)) == [(3,), (250,)]
 
 
 def miles(a, b):

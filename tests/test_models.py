@@ -1,9 +1,13 @@
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from ridecells.catalog.ensembles import DEMAND_DOCUMENT, ZIP_ENSEMBLE
 from ridecells.models import ensemble, forest
-from ridecells.schemas import WEATHER_REPORT
+from ridecells.schemas import CELL_COUNT, CELLED_RIDE, WEATHER_REPORT
 from ridecells.session import shared_folder
+from ridecells.sinks.topics import write_topic
 from ridecells.streaming import jobs
 
 # Scores of the two-tree ensemble.
@@ -25,7 +29,9 @@ def test_null_inputs_and_unknown_categories_give_null(spark):
     frame = spark.createDataFrame(
         [(None, 3, 10), (10014, None, 10), (10119, None, None), (99999, 1, 1)],
         "zip int, weekday int, hour int")
-    plain = [r.prediction for r in ensemble.score_ensemble(ZIP_ENSEMBLE, frame).collect()]
+    free = ZIP_ENSEMBLE._replace(categories={})
+    plain = [r.prediction for r in ensemble.score_ensemble(free, frame).collect()]
+    assert ensemble.score_ensemble(ZIP_ENSEMBLE, frame).collect()[3].prediction is None
     assert plain[:2] == [None, None] and plain[2] is not None and plain[3] is not None
     declared = ZIP_ENSEMBLE._replace(categories={"zip": (10014, 10119)})
     strict = [r.prediction for r in ensemble.score_ensemble(declared, frame).collect()]
@@ -104,6 +110,96 @@ def test_forest_as_columns_scores_the_same(spark, conditions):
     assert tuple(apart) == (conditions.count(), 0)
 
 
+def test_large_forests_become_flat_arrays(spark, conditions):
+    _, model = forest.train_forest(conditions, trees=20, depth=8)
+    trees = ensemble.ensemble_of_forest(
+        spark, model.stages[-1], shared_folder(spark, "nodes"), forest.FEATURES)
+    assert sum(len(ensemble._tests(t)) for t in trees.trees) > ensemble.MOST_TESTS
+    apart = forest.parity(forest.score(model, conditions),
+                          ensemble.score_ensemble(trees, conditions), forest.FEATURES).first()
+    assert tuple(apart) == (conditions.count(), 0)
+    hole = conditions.limit(1).withColumn("hour", F.lit(None).cast("int"))
+    assert ensemble.score_ensemble(trees, hole).first()["prediction"] is None
+
+
+def test_flat_arrays_score_as_nested_columns_do(spark, monkeypatch):
+    model = ensemble.Ensemble([
+        ensemble.Branches([(("a", "notEqual", 2), ensemble.Branches([
+            (("b", "greaterOrEqual", 1.5), ensemble.Leaf(1.0)), (("b", "lessThan", 0.5), ensemble.Leaf(2.0))])),
+            (("a", "equal", 2), ensemble.Leaf(3.0))]),
+        ensemble.Branches([(("b", "greaterThan", 1), ensemble.Leaf(0.25)), (None, ensemble.Leaf(0.75))])], {"a": (1, 2, 3)})
+    frame = spark.createDataFrame([(a, b) for a in (None, 1, 2, 3, 4) for b in (None, 0.0, 0.5, 1.0, 1.5, 2.0)], "a int, b double")
+    nested = ensemble.score_ensemble(model, frame).collect()
+    monkeypatch.setattr(ensemble, "MOST_TESTS", 0)
+    assert ensemble.score_ensemble(model, frame).collect() == nested
+
+
+def test_forests_with_categories_are_refused(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+    from pyspark.ml.regression import RandomForestRegressor
+
+    frame = spark.createDataFrame([(i % 3, float(i % 3 == 1)) for i in range(60)], "zip int, count double")
+    stages = [VectorAssembler(inputCols=["zip"], outputCol="v"), VectorIndexer(inputCol="v", outputCol="features"),
+              RandomForestRegressor(labelCol="count", numTrees=1, maxDepth=2)]
+    model = Pipeline(stages=stages).fit(frame)
+    with pytest.raises(ValueError, match="categorical"):
+        ensemble.ensemble_of_forest(spark, model.stages[-1], shared_folder(spark, "nodes"), ["zip"])
+
+
+def test_one_document_only(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).write_text(DEMAND_DOCUMENT)
+    with pytest.raises(ValueError, match="several"):
+        ensemble.read_ensemble(spark, str(tmp_path))
+
+
+def test_incomplete_reports_have_no_predictions(spark, conditions, tmp_path):
+    reports = spark.createDataFrame([
+        ("2014-05-07 09:51", 60.0, 0.1), ("2014-05-07 10:51", None, 0.1), ("2014-05-07 11:51", 50.0, None),
+        ("no time", 50.0, 0.0), (None, 50.0, 0.0), ("2014-05-07 12:51", 70.0, 0.0)], WEATHER_REPORT)
+    (tmp_path / "model.pmml").write_text(DEMAND_DOCUMENT)
+    document = ensemble.read_ensemble(spark, str(tmp_path / "model.pmml"))
+    _, model = forest.train_forest(conditions, trees=2, depth=2)
+    cells = spark.createDataFrame([(5,), (70_000,)], "cell_id int")
+    found = []
+    for scorer in (lambda rows: ensemble.score_ensemble(document, rows), lambda rows: forest.score(model, rows)):
+        predicted = jobs.predicted_demand(reports, scorer, cells).collect()
+        assert all(r["count"] is not None for r in predicted)
+        found.append(sorted((r.datetime, r.cell_id) for r in predicted))
+    assert found[0] == found[1] == [(d, c) for d in ("2014-05-07 09:51", "2014-05-07 12:51") for c in (5, 70_000)]
+    kept, seen = jobs.complete_reports(reports)
+    kept.collect()
+    assert seen.get["dropped"] == 4
+
+
+def test_a_stream_goes_on_past_bad_records(spark):
+    folder = shared_folder(spark, "bad-records")
+    topic = {"fmt": "parquet", "options": {"path": f"{folder}/topics"}}
+    reports = spark.createDataFrame([("bad", 60.0, 0.1), ("2014-05-07 09:51", 60.0, 0.1)], WEATHER_REPORT)
+    write_topic(reports, "weather", **topic)
+    cells = spark.createDataFrame([(5,)], "cell_id int")
+    query = jobs.run_prediction(spark, "weather", "predicted", lambda rows: rows.withColumn("prediction", F.lit(1.0)),
+                                cells=cells, checkpoint=f"{folder}/c", **topic)
+    query.awaitTermination()
+    assert [r.datetime for r in jobs.topic_values(spark, "predicted", CELL_COUNT, **topic).collect()] == ["2014-05-07 09:51"]
+    assert sum(p["observedMetrics"][jobs.INCOMPLETE]["dropped"] for p in map(_progress, query.recentProgress)
+               if jobs.INCOMPLETE in p["observedMetrics"]) == 1
+
+    rides = spark.createDataFrame([("no time", 40.7, -73.9, 5), ("2014-05-07 09:51:00", 40.7, -73.9, 5)], CELLED_RIDE)
+    write_topic(rides, "celled", key="pickup_cellid", **topic)
+    later = spark.createDataFrame([("2014-05-08 09:51:00", 40.7, -73.9, 5)], CELLED_RIDE)
+    write_topic(later, "celled", key="pickup_cellid", **topic)
+    query = jobs.run_popular_cells(spark, "celled", "popular", threshold=1, checkpoint=f"{folder}/p", **topic)
+    query.awaitTermination()
+    found = jobs.topic_values(spark, "popular", CELL_COUNT, **topic).collect()
+    assert len(found) == 3 and all(r["count"] == 1 for r in found)
+
+
+def _progress(progress):
+    return progress if isinstance(progress, dict) else json.loads(progress.json)
+
+
 def test_parity_notices_differences(spark, conditions):
     _, model = forest.train_forest(conditions, trees=2, depth=2)
     scored = forest.score(model, conditions)
@@ -152,11 +248,9 @@ def test_demand_by_combination_and_by_report(spark, tmp_path, rows, monkeypatch)
         results.append(rows(jobs.predicted_demand(weather, scorer, cells).na.fill(-1)))
     shared = results[0]
     assert shared == results[1]
-    # Without a rain reading the third tree has a score in the north only.
+    # The report without a rain reading has no prediction.
     assert shared == sorted(
-        [("2014-05-07 09:21", 0, 3), ("2014-05-07 09:21", 50_552, -1),
-         ("2014-05-07 09:21", 99_999, -1)]
-        + [(day, cell, 3) for day in ("2014-05-07 09:51", "2014-05-07 09:51", "2014-05-14 09:51")
-           for cell in (0, 50_552, 99_999)])
+        (day, cell, 3) for day in ("2014-05-07 09:51", "2014-05-07 09:51", "2014-05-14 09:51")
+        for cell in (0, 50_552, 99_999))
     only = jobs.predicted_demand(weather, scorer, cells, only_rain_minute=True)
     assert only.count() == 9
