@@ -12,105 +12,128 @@ def nulls_per_column(df):
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
-def _long(df, columns):
-    """One row per value: ``column, v``."""
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
-    ])).alias("x")).select("x.*")
+def _wide(df, columns):
+    return df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
 
 
-def _facts(values, shares, accuracy):
-    """Map from column to moments, extremes and quantile brackets, as a scalar.
+def _facts(values, n_columns, points, accuracy):
+    """Moments, extremes and sketched quantiles of all columns, in one pass: a row."""
+    wanted = []
+    for i in range(n_columns):
+        v = f"v{i}"
+        wanted += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
+                   F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"),
+                   F.percentile_approx(v, points, accuracy).alias(f"points{i}")]
+    return values.agg(*wanted).first()
 
-    A scalar, because the plan uses it more than once and Spark computes equal
-    scalar subqueries once.
-    """
+
+def _sides(share, accuracy):
     slack = 4.0 / accuracy
-    sides = [(q, max(0.0, q - slack), min(1.0, q + slack)) for q in shares]
-    points = sorted({p for _, low, high in sides for p in (low, high)})
-    few = F.col("n") < accuracy
-
-    def end(p, extreme, at_extreme):
-        return F.when(few | F.lit(at_extreme), F.col(extreme)).otherwise(
-            F.col("points")[points.index(p)])
-
-    per_column = values.groupBy("column").agg(
-        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("least"), F.max("v").alias("most"),
-        F.percentile_approx("v", points, accuracy).alias("points"),
-    )
-    brackets = F.array(*[
-        F.struct(F.lit(q).alias("share"), F.col("n"), end(low, "least", low <= 0.0).alias("low"),
-                 end(high, "most", high >= 1.0).alias("high"))
-        for q, low, high in sides
-    ])
-    facts = F.struct("n", "mean", "std", "least", "most", brackets.alias("brackets"))
-    return per_column.select("column", facts.alias("facts")).agg(
-        F.map_from_entries(F.collect_list(F.struct("column", "facts")))).scalar()
+    return max(0.0, share - slack), min(1.0, share + slack)
 
 
-def _quantiles(values, facts, shares):
-    """Rank the values inside the brackets, knowing how many lie between them.
+def _brackets(values, facts, n_columns, shares, points, accuracy):
+    """(column, share, n, low, high, below): where each quantile lies, and the values below.
 
-    Values in no bracket are only counted, by the number of brackets below
-    them; so the pass over all values has a handful of groups for them.
+    Sketches bracket a quantile within some hundred thousandths of the rows;
+    while a bracket still holds more different values than can be ranked at
+    ease, its own values are sketched again. So what is ranked doesn't grow
+    with the table.
     """
-    brackets = facts[F.col("column")]["brackets"]
-    b, some = F.col("b"), range(len(shares))
-    held = reduce(lambda x, y: x | y, [
-        (F.col("v") >= b[i]["low"]) & (F.col("v") <= b[i]["high"]) for i in some])
-    passed = reduce(lambda x, y: x + y, [(F.col("v") > b[i]["high"]).cast("int") for i in some])
-    counted = (
-        values.filter(F.col("v").isNotNull()).withColumn("b", brackets)
-        .select("column", F.when(held, F.col("v")).alias("inside"), passed.alias("passed"))
-        .groupBy("column", "passed", "inside").agg(F.count("*").alias("rows"))
-    )
-    placed = counted.select("*", F.posexplode(brackets).alias("place", "b")).select("*", "b.*").filter(
-        F.coalesce(F.col("inside") <= F.col("high"), F.col("passed") <= F.col("place")))
-    ranked = placed.withColumn("upto", F.sum("rows").over(
-        Window.partitionBy("column", "share").orderBy(F.col("inside").asc_nulls_first())))
+    found, waiting = [], []
+    for i in range(n_columns):
+        n = facts[f"n{i}"]
+        for q in shares if n else []:
+            low, high = facts[f"min{i}"], facts[f"max{i}"]
+            if n >= accuracy:
+                (first, last), sketched = _sides(q, accuracy), facts[f"points{i}"]
+                low = sketched[points.index(first)] if first > 0.0 else low
+                high = sketched[points.index(last)] if last < 1.0 else high
+            waiting.append((i, q, n, low, high))
+    while waiting:
+        inside = [F.col(f"v{i}").between(low, high) for i, _, _, low, high in waiting]
+        counted = values.agg(*[c for k, (i, _, _, low, _) in enumerate(waiting) for c in (
+            F.count_if(F.col(f"v{i}") < low).alias(f"below{k}"), F.count_if(inside[k]).alias(f"inside{k}"),
+            F.approx_count_distinct(F.when(inside[k], F.col(f"v{i}"))).alias(f"kinds{k}"))]).first()
+        wide, sketches = [], []
+        for k, (i, q, n, low, high) in enumerate(waiting):
+            below, held = counted[f"below{k}"], counted[f"inside{k}"]
+            if low == high or counted[f"kinds{k}"] <= 2 * accuracy:
+                found.append((i, q, n, low, high, below))
+                continue
+            place = (q * (n - 1) - below) / max(1, held - 1)
+            ends = _sides(place, accuracy)
+            sketches.append(F.percentile_approx(F.when(inside[k], F.col(f"v{i}")), list(ends), accuracy).alias(f"s{k}"))
+            wide.append((k, ends))
+        again = values.agg(*sketches).first() if wide else {}
+        waiting = [(*waiting[k][:3], again[f"s{k}"][0] if ends[0] > 0.0 else waiting[k][3],
+                    again[f"s{k}"][1] if ends[1] < 1.0 else waiting[k][4]) for k, ends in wide]
+    return found
+
+
+def _quantiles(values, brackets, columns, shares):
+    """Rank the different values inside the brackets, knowing how many lie below."""
+    spark = values.sparkSession
+    layout = "place int, share double, n bigint, low double, high double, below bigint"
+    frame = F.broadcast(spark.createDataFrame(brackets, layout))  # one row per column and share
+    names = F.broadcast(spark.createDataFrame([(c, i, q) for i, c in enumerate(columns) for q in shares],
+                                              "column string, place int, share double"))
+
+    def held(i):
+        own = [F.col(f"v{i}").between(low, high) for place, _, _, low, high, _ in brackets if place == i]
+        return F.when(reduce(lambda x, y: x | y, own, F.lit(False)), F.struct(F.lit(i).alias("place"), F.col(f"v{i}").alias("v")))
+
+    kept = values.select(F.explode(F.array_compact(F.array(*[held(i) for i in range(len(columns))]))).alias("x"))
+    counted = kept.groupBy("x.place", "x.v").agg(F.count("*").alias("rows"))
+    placed = counted.join(frame, "place").filter(F.col("v").between(F.col("low"), F.col("high")))
+    ranked = placed.withColumn("upto", F.col("below") + F.sum("rows").over(Window.partitionBy("place", "share").orderBy("v")))
     position = F.col("share") * (F.col("n") - 1)
     first = F.col("upto") - F.col("rows")
 
     def order_statistic(rank):
-        hit = F.col("inside").isNotNull() & (first <= rank) & (F.col("upto") > rank)
-        return F.max(F.when(hit, F.col("inside")))
+        return F.max(F.when((first <= rank) & (F.col("upto") > rank), F.col("v")))
+
+    found = ranked.groupBy("place", "share").agg(
+        order_statistic(F.floor(position)).alias("low"), order_statistic(F.ceil(position)).alias("high"),
+        F.max(position - F.floor(position)).alias("part"))
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    return names.join(found, ["place", "share"]).select("column", "share", value.alias("value"))
+
 
-    return ranked.groupBy("column", "share").agg(
-        order_statistic(F.floor(position)).alias("below"),
-        order_statistic(F.ceil(position)).alias("above"),
-        F.max(position - F.floor(position)).alias("part"),
-    ).select("column", "share",
-             (F.col("below") + (F.col("above") - F.col("below")) * F.col("part")).alias("value"))
+def _measured(df, columns, shares, accuracy):
+    values, shares = _wide(df, columns), sorted(shares)
+    points = sorted({p for q in shares for p in _sides(q, accuracy)})
+    facts = _facts(values, len(columns), points, accuracy)
+    brackets = _brackets(values, facts, len(columns), shares, points, accuracy)
+    return facts, _quantiles(values, brackets, columns, shares)
 
 
 def exact_quantiles(df, columns, shares=QUARTILES, accuracy=100_000):
     """Quantiles with linear interpolation: ``column, share, value``.
 
-    A quantile lies between two order statistics. A first pass brackets each
-    of them with a quantile sketch of known error and counts the rows; a
-    second pass counts rows below the bracket and per value inside it. Only
-    values inside a bracket are ranked, a share of about 8 / accuracy of the
-    rows and one row per different value, never the column as a whole. Below
-    ``accuracy`` rows the bracket is the whole column.
+    A quantile lies between two order statistics. A pass over all columns
+    brackets each of them with a quantile sketch of known error; a second
+    counts the values below and inside the brackets (further ones narrow
+    brackets of very large tables); the last ranks the different values inside,
+    never the column as a whole. Below ``accuracy`` rows the bracket is the
+    whole column. A column without values has no quantile. The passes run when
+    this is called; the driver gets one row of numbers from each.
     """
-    values = _long(df, columns)
-    shares = sorted(shares)
-    return _quantiles(values, _facts(values, shares, accuracy), shares)
+    return _measured(df, columns, shares, accuracy)[1]
 
 
 def describe(df, columns, accuracy=100_000):
     """Count, mean, standard deviation, extremes and exact quartiles per column."""
-    values = _long(df, columns)
-    facts = _facts(values, QUARTILES, accuracy)
-    quartiles = _quantiles(values, facts, QUARTILES).groupBy("column").agg(*[
+    facts, quantiles = _measured(df, columns, QUARTILES, accuracy)
+    quartiles = quantiles.groupBy("column").agg(*[
         F.max(F.when(F.col("share") == q, F.col("value"))).alias(name)
         for q, name in zip(QUARTILES, ("q25", "q50", "q75"))
     ])
-    each = df.sparkSession.range(1).select(F.explode(facts).alias("column", "f"))
+    layout = "column string, count bigint, mean double, std double, min double, max double"
+    each = df.sparkSession.createDataFrame(
+        [(c, *(facts[f"{k}{i}"] for k in ("n", "mean", "std", "min", "max"))) for i, c in enumerate(columns)], layout)
     return each.join(quartiles, "column", "left").select(
-        "column", F.col("f.n").alias("count"), "f.mean", "f.std", F.col("f.least").alias("min"),
-        "q25", "q50", "q75", F.col("f.most").alias("max"))
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def histogram(df, column, bins=10):
