@@ -1,5 +1,6 @@
 """Session settings and the shared working folder."""
 
+import functools
 import tempfile
 import uuid
 
@@ -29,18 +30,24 @@ def build_session(app_name="ridecells", master=None, **conf):
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_folder():
+    """One temporary folder of this process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="ridecells-")
+
+
 def shared_folder(spark, name):
     """A new folder below ``spark.checkpoint.dir``, seen by all executors.
 
     Only a local session may do without the setting; it gets a temporary
-    folder. A cluster session without it is refused, since a folder on one
-    machine would be lost with that machine.
+    folder that goes when the process ends. A cluster session without it is
+    refused, since a folder on one machine would be lost with that machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="ridecells-")
+        base = _local_folder().name
     return f"{base.rstrip('/')}/ridecells/{name}-{uuid.uuid4().hex}"
 
 
