@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, secrets, sharding, sql, token_counts, token_files, warc
+from ridecells.llm.common import stored
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -63,15 +64,19 @@ def benchmark_decontamination(spark, folder):
 
 
 def edited_token_counts(spark, folder):
-    """Each document with three edits of its own text: a new start, its first words repeated in the middle, a gap at a quarter."""
-    docs = _table(spark, folder, "documents")
+    """Each document with three edits of its own text: a new start, its first words repeated in the middle, a gap at a quarter.
+
+    The trees are built and stored first; the edits then start from what was stored.
+    """
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    docs = stored(token_counts.count_trees(_table(spark, folder, "documents"), vocabulary), "count-trees")
     size = F.coalesce(F.char_length("text"), F.lit(0))
     half, quarter = F.floor(size / 2), F.floor(size / 4)
     edits = F.array(
         token_counts.change(F.lit(0), F.lit(8), F.lit("Edited text, ")),
         token_counts.change(half, half, F.substring("text", 1, 64)),
         token_counts.change(quarter, quarter + 32, F.lit("")))
-    return token_counts.edited(docs, edits, public_tokenizers.path(VOCABULARY))
+    return token_counts.edited(docs, edits, vocabulary)
 
 
 QUERIES = {
