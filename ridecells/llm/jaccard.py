@@ -39,7 +39,9 @@ _PREFIX_SHARE = 16
 _BATCH_SHARE = 3
 _BATCH_HASHES = 2_000_000
 _KEPT_WORDS = 500_000
-_MAPS = 1 << 22
+#: Bits of the maps that keep most texts, and most shingles, from a join that then decides.
+_TEXT_BITS = 1 << 22
+_SHINGLE_BITS = 1 << 26
 
 
 class _WordHashes(dict):
@@ -187,25 +189,51 @@ def _counted(pairs):
         F.col("shared") >= enough).select("gid", "other_gid")
 
 
-def _texts(docs, wanted):
-    """(key_a, key_b, text) of the wanted rows, one each.
+class _BitMap:
+    """Which remainders the values of a column leave, known to all tasks: a bounded first filter."""
 
-    A bit map of the wanted keys, 512 kB at most, keeps most other texts from
-    the join that then decides.
-    """
-    bit = F.pmod("key_a", F.lit(_MAPS)) + 1
-    maps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    bits = np.zeros(_MAPS // 8, np.uint8)
-    for row in maps:
-        own = np.frombuffer(row["bits"], np.uint8)
-        bits[(row["bucket"] - 1) * len(own):row["bucket"] * len(own)] = own
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    def __init__(self, frame, column, size):
+        bit = F.pmod(column, F.lit(size)) + 1
+        maps = frame.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+        bits = np.zeros(size // 8, np.uint8)
+        for row in maps.collect():
+            own = np.frombuffer(row["bits"], np.uint8)
+            bits[(row["bucket"] - 1) * len(own):row["bucket"] * len(own)] = own
+        self.size, self.bits = size, frame.sparkSession.sparkContext.broadcast(bits)
+
+    def may_hold(self, values):
+        at = values % self.size
+        return (self.bits.value[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
+def _shared_postings(prefixes):
+    """Stored (shingle, gid, n, place) of the groups, without most shingles that one group alone has."""
+    layout = "shingle bigint, gid bigint, n bigint, place int"
+    seen = prefixes.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("times"))
+    common = _BitMap(seen.where("times > 1"), "shingle", _SHINGLE_BITS)
+
+    def pick(batches):
+        for batch in batches:
+            lists = batch.column(2)
+            found, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(found)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = common.may_hold(found)
+            of = [batch.column(i).to_numpy()[row[kept]] for i in range(2)]
+            yield pa.RecordBatch.from_arrays([pa.array(found[kept]), *map(pa.array, of), pa.array(place[kept].astype(np.int32))],
+                                             names=["shingle", "gid", "n", "place"])
+
+    return stored(prefixes.select("gid", "n", "prefix").mapInArrow(pick, layout).distinct(), "postings")
+
+
+def _texts(docs, wanted):
+    """(key_a, key_b, text) of the wanted rows, one each."""
+    near_by = _BitMap(wanted, "key_a", _TEXT_BITS)
 
     def pick(batches):
         for batch in batches:
-            at = batch.column(0).to_numpy() % _MAPS
-            yield batch.filter(pa.array((sent.value[at >> 3] >> (at & 7) & 1).astype(bool)))
+            yield batch.filter(pa.array(near_by.may_hold(batch.column(0).to_numpy())))
 
     near = docs.select(*row_keys(), "text").mapInArrow(pick, "key_a bigint, key_b bigint, text string")
     return near.join(wanted, KEYS, "left_semi").dropDuplicates(KEYS)
@@ -273,8 +301,7 @@ def near_duplicates(docs, size=5, percent=80):
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key_a", "key_b")).alias("first"))
     owners = stored(owners, "set-owners")
     classes = stored(prefixes.select("set_key", "gid").distinct(), "classes")
-    groups = prefixes.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    postings = stored(groups.select("gid", "n", F.posexplode("prefix").alias("place", "shingle")), "prefix-postings")
+    postings = _shared_postings(prefixes)
     lists = stored(postings.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1"), "lists")
     shared = stored(postings.join(lists, "shingle"), "shared")
 
