@@ -135,13 +135,25 @@ class _Order:
         self.rows = spark.sparkContext.broadcast((np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.uint64)))
 
     def first(self, own, n):
-        """The first n of a set's shingles, sorted by hash."""
+        """The first n of a set's shingles, which come sorted by hash.
+
+        Mostly the smallest hashes hold enough that aren't frequent; else all are looked up.
+        """
+        for some in (own[:2 * n], own):
+            times = self._times(some)
+            rare = some[times == 0]
+            if len(rare) >= n:
+                return rare[:n].view(np.int64)
+        often = times > 0
+        often = own[often][np.argsort(times[often], kind="stable")]
+        return np.concatenate([rare, often])[:n].view(np.int64)
+
+    def _times(self, own):
         frequent, times = self.rows.value
-        place = own >> np.uint64(1)
-        if len(frequent):
-            at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-            place = np.where(frequent[at] == own, np.uint64(1 << 63) + times[at], place)
-        return own[np.argsort(place, kind="stable")[:n]].view(np.int64)
+        if not len(frequent):
+            return np.zeros(len(own), np.uint64)
+        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+        return np.where(frequent[at] == own, times[at], np.uint64(0))
 
 
 def _most(counted):
