@@ -103,7 +103,9 @@ def _with_matches(docs, phrases, window, anchors):
         F.collect_list(F.struct("item_id", "item", "shift", "item_words")).alias("_phrase_found")).withColumnsRenamed(own)
 
     texts = docs.select("*", *[k.alias(n) for k, n in zip(row_keys(), own.values())])
-    read = texts.join(found, list(own.values()), "left").withColumn("_phrase_words", words(F.col("text")))
+    # Exploding the one list of words keeps later filters from moving below this point, where each
+    # comparison would split the text again.
+    read = texts.join(found, list(own.values()), "left").select("*", F.explode(F.array(words(F.col("text")))).alias("_phrase_words"))
 
     def matched(f):
         same = F.transform(f["item_words"], lambda w, i: F.when(F.get("_phrase_words", f["shift"] + i) == w, "1").otherwise("0"))
