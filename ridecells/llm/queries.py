@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, secrets, sharding, sql, token_counts, token_files, warc
+from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, runs, secrets, sharding, sql, token_counts, token_files, warc
 from ridecells.llm.common import stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -79,6 +79,10 @@ def edited_token_counts(spark, folder):
     return token_counts.edited(docs, edits, vocabulary)
 
 
+def periodic_runs(spark, folder):
+    return runs.run_digests(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
     "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
@@ -90,5 +94,6 @@ QUERIES = {
     "op8_token_id_files": (token_id_files, None),
     "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
     "op10_edited_token_counts": (edited_token_counts, None),
+    "op12_periodic_runs": (periodic_runs, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
