@@ -31,7 +31,8 @@ KEYS = ["key_a", "key_b"]
 
 _ARROW = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(),
           "binary": pa.binary(), "boolean": pa.bool_(), "array<bigint>": pa.list_(pa.int64()),
-          "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64())}
+          "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()),
+          "array<string>": pa.list_(pa.string())}
 
 
 def arrow_schema(text):

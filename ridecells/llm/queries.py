@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, runs, secrets, sharding, sql, token_counts, token_files, warc
+from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, ranking, runs, secrets, sharding, sql, token_counts, token_files, warc
 from ridecells.llm.common import stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -83,6 +83,10 @@ def periodic_runs(spark, folder):
     return runs.run_digests(_table(spark, folder, "documents"))
 
 
+def ranked_search(spark, folder):
+    return ranking.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_best_fit_packing": (packed_documents, None),
     "op2_trigram_secret_scan": (secret_scan, sql.secret_scan(secrets.RULES, len(secrets.BASE))),
@@ -95,5 +99,6 @@ QUERIES = {
     "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
     "op10_edited_token_counts": (edited_token_counts, None),
     "op12_periodic_runs": (periodic_runs, None),
+    "op13_pair_bound_search": (ranked_search, sql.RANKING),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

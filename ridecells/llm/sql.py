@@ -65,3 +65,23 @@ reach AS (SELECT row_id AS a, row_id AS b FROM d UNION SELECT r.a, l.b FROM reac
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(o.doc_id) AS component_id
 FROM d LEFT JOIN n USING (row_id) JOIN reach ON reach.a = d.row_id JOIN d o ON o.row_id = reach.b
 GROUP BY d.row_id, d.doc_id, n.n"""
+
+
+RANKING = r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents),
+b AS (SELECT row_number() OVER () AS item, item_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS w
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+total AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+    FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+sizes AS (SELECT row_id, doc_id, 10 + (90 * len(w) * n_docs) // n_terms AS m FROM d, total WHERE len(w) > 0),
+asked AS (SELECT DISTINCT item, item_id, term FROM (SELECT item, item_id, unnest(w) AS term FROM b)),
+scores AS (SELECT item, item_id, row_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (row_id) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10"""
