@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridecells.llm import decontamination, fingerprints, jaccard, packing, quality, ranking, runs, secrets, sharding, sql, token_counts, token_files, warc
+from ridecells.llm import decontamination, fingerprints, jaccard, main_text, packing, quality, ranking, runs, secrets, sharding, sql, token_counts, token_files, warc
 from ridecells.llm.common import stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -79,6 +79,10 @@ def edited_token_counts(spark, folder):
     return token_counts.edited(docs, edits, vocabulary)
 
 
+def extracted_main_text(spark, folder):
+    return main_text.main_text(_table(spark, folder, "pages"))
+
+
 def periodic_runs(spark, folder):
     return runs.run_digests(_table(spark, folder, "documents"))
 
@@ -98,6 +102,7 @@ QUERIES = {
     "op8_token_id_files": (token_id_files, None),
     "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
     "op10_edited_token_counts": (edited_token_counts, None),
+    "op11_main_text": (extracted_main_text, None),
     "op12_periodic_runs": (periodic_runs, None),
     "op13_pair_bound_search": (ranked_search, sql.RANKING),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
