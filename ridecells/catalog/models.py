@@ -20,12 +20,16 @@ from ridecells.streaming import jobs
 _KEY = [*forest.FEATURES, "count"]
 
 
-def _demand_scorer(spark, place):
-    """The scorer read from an exchange document in the shared folder."""
+def _demand_model(spark, place):
+    """The ensemble read from an exchange document in the shared folder."""
     path = place.path("document")
     spark.createDataFrame([(DEMAND_DOCUMENT,)], "value string").write.option(
         "lineSep", "\n").text(path)
-    model = ensemble.read_ensemble(spark, path)
+    return ensemble.read_ensemble(spark, path)
+
+
+def _demand_scorer(spark, place):
+    model = _demand_model(spark, place)
     return lambda rows: ensemble.score_ensemble(model, rows)
 
 
@@ -128,8 +132,9 @@ def predicted_demand_by_forest(spark, folder):
     """
     counts = stored(training_table(spark, folder), "counts")
     _, model = forest.train_forest(counts)
+    cuts = forest.forest_cuts(spark, model.stages[-1], Place(spark, "cuts").path("forest"))
     predicted = jobs.predicted_demand(
-        derived.weather_records(spark, folder), lambda rows: forest.score(model, rows))
+        derived.weather_records(spark, folder), lambda rows: forest.score(model, rows), cuts=cuts)
     bounds = counts.agg(F.min("count").alias("low"), F.max("count").alias("high"))
     return predicted.crossJoin(F.broadcast(bounds)).groupBy("datetime").agg(  # one row
         F.count("*").alias("cells"), F.count_if(F.col("count").between(F.col("low"), F.col("high"))).alias("within"))
@@ -139,9 +144,10 @@ def prediction_stream(spark, folder):
     """The prediction job over all reports and cells; what it wrote, summed up per report."""
     place = Place(spark, "prediction-stream")
     place.publish(derived.weather_records(spark, folder), "weather")
+    model = _demand_model(spark, place)
     jobs.run_prediction(
-        spark, "weather", "predicted", _demand_scorer(spark, place), checkpoint=place.path("c"),
-        **place.topic).awaitTermination()
+        spark, "weather", "predicted", lambda rows: ensemble.score_ensemble(model, rows), cuts=ensemble.ensemble_cuts(model),
+        checkpoint=place.path("c"), **place.topic).awaitTermination()
     return _per_report(place.values("predicted", CELL_COUNT))
 
 

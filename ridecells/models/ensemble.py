@@ -4,7 +4,10 @@ A small ensemble is the mean of nested ``when`` expressions: generated JVM code
 in the middle of a plan, on batches and streams. Past ``MOST_TESTS`` tests such
 an expression no longer fits generated code; then the trees are flat arrays,
 walked for a batch of rows at once by numpy in a vectorised UDF. Both give the
-same scores.
+same scores, by one rule for a test: it holds if the input is known and compares
+so with the test's value. Null and NaN are unknown, and no test of them holds. A
+field is compared as a number (a double) or, if its tests have text values, as
+text. Where no branch holds, the tree and the mean are null.
 """
 
 import xml.etree.ElementTree as xml
@@ -32,11 +35,17 @@ _OPERATORS = {
 }
 
 
+def _known(field, text):
+    """The field as its tests compare it; null where it is unknown."""
+    return F.col(field).cast("string") if text else F.nanvl(F.col(field).cast("double"), F.lit(None).cast("double"))
+
+
 def _holds(test):
     if test is None:
         return F.lit(True)
     field, operator, value = test
-    return _OPERATORS[operator](F.col(field), F.lit(value))
+    text = isinstance(value, str)
+    return _OPERATORS[operator](_known(field, text), F.lit(value if text else float(value)))
 
 
 def tree_column(node):
@@ -54,10 +63,14 @@ _SIGNS = {"equal": 2, "notEqual": 5, "lessThan": 1, "lessOrEqual": 3, "greaterTh
 
 
 class FlatTrees:
-    """Trees over numbers as arrays: a node's field, value, signs, next nodes and score."""
+    """Trees as arrays: a node's field, value, signs, next nodes and score.
 
-    def __init__(self, trees, fields):
-        self.fields, self.nodes, self.depth = list(fields), [], 0
+    ``texts`` has the sorted values that tests of a text field use. Such a field
+    is walked as a number: twice the place among them, plus one if it is one.
+    """
+
+    def __init__(self, trees, fields, texts):
+        self.fields, self.texts, self.nodes, self.depth = list(fields), texts, [], 0
         self.nowhere = self._add(0, 0.0, 0, None, None, np.nan)
         self.roots = [self._flatten(tree, 0) for tree in trees]
         columns = zip(*self.nodes)
@@ -81,6 +94,7 @@ class FlatTrees:
                 following = below
             else:
                 field, operator, value = test
+                value = 2 * self.texts[field].index(value) + 1 if field in self.texts else value
                 following = self._add(self.fields.index(field), float(value), _SIGNS[operator], below, following, np.nan)
         return following
 
@@ -90,24 +104,30 @@ class FlatTrees:
         for root in self.roots:
             at = np.full(len(inputs), root)
             for _ in range(self.depth + 1):
-                apart = inputs[rows, self.field[at]] - self.value[at]
-                known = ~np.isnan(apart)
-                sign = np.left_shift(1, np.where(known, np.sign(apart), 0).astype(np.int64) + 1)
-                at = np.where(known & (self.signs[at] & sign > 0), self.yes[at], self.no[at])
+                own, value = inputs[rows, self.field[at]], self.value[at]
+                sign = np.left_shift(1, 1 + (own > value).astype(np.int64) - (own < value))
+                at = np.where(~np.isnan(own) & (self.signs[at] & sign > 0), self.yes[at], self.no[at])
             total = total + self.score[at]
         return total / len(self.roots)
 
 
-def _flat_column(ensemble):
+def _flat_column(ensemble, texts):
     fields = sorted(set().union(*[_fields(tree) for tree in ensemble.trees]))
-    flat = FlatTrees(ensemble.trees, fields or [""])
+    flat = FlatTrees(ensemble.trees, fields or [""], texts)
 
     @F.pandas_udf("double")
     def mean(inputs: pd.DataFrame) -> pd.Series:
         scores = flat.mean(inputs.to_numpy(float))
         return pd.Series(scores).astype("Float64").mask(np.isnan(scores))
 
-    columns = [F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(fields)]
+    def number(field):
+        if field not in texts:
+            return _known(field, False)
+        values, own = F.array(*map(F.lit, texts[field])), _known(field, True)
+        below = F.size(F.filter(values, lambda v: v < own))
+        return F.when(own.isNotNull(), 2 * below + F.array_contains(values, own).cast("int")).cast("double")
+
+    columns = [number(f).alias(f"f{i}") for i, f in enumerate(fields)]
     return mean(F.struct(*(columns or [F.lit(0.0).alias("f0")])))
 
 
@@ -117,11 +137,25 @@ def _tests(node):
     return [test for test, _ in node.choices if test] + [t for _, child in node.choices for t in _tests(child)]
 
 
+def _text_values(tests):
+    """Text field to the sorted values of its tests."""
+    texts, numbers = {}, set()
+    for field, _, value in tests:
+        if isinstance(value, str):
+            texts.setdefault(field, set()).add(value)
+        else:
+            numbers.add(field)
+    if texts.keys() & numbers:
+        raise ValueError(f"compared as text and as numbers: {sorted(texts.keys() & numbers)}")
+    return {field: sorted(values) for field, values in texts.items()}
+
+
 def ensemble_column(ensemble):
     """Mean of the trees; null if a category has a value the model never saw."""
     tests = [t for tree in ensemble.trees for t in _tests(tree)]
-    if len(tests) > MOST_TESTS and not any(isinstance(value, str) for _, _, value in tests):
-        mean = _flat_column(ensemble)
+    texts = _text_values(tests)
+    if len(tests) > MOST_TESTS:
+        mean = _flat_column(ensemble, texts)
     else:
         total = tree_column(ensemble.trees[0])
         for tree in ensemble.trees[1:]:
@@ -234,6 +268,16 @@ def ensemble_of_forest(spark, forest_model, path, features):
     return Ensemble([build(nodes[t], 0) for t in sorted(nodes)], {})
 
 
+def ensemble_cuts(ensemble):
+    """Field to the sorted numbers its tests compare it with; between them scores don't change."""
+    cuts = {}
+    for field, _, value in (t for tree in ensemble.trees for t in _tests(tree)):
+        if isinstance(value, str):
+            raise ValueError(f"{field} is compared as text")
+        cuts.setdefault(field, set()).add(float(value))
+    return {field: sorted(values) for field, values in cuts.items()}
+
+
 def score_ensemble(ensemble, rows):
     """Rows with the column ``prediction``."""
     return rows.withColumn("prediction", ensemble_column(ensemble))

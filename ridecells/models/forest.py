@@ -79,6 +79,24 @@ def score(model, rows):
     return model.transform(rows).drop("features")
 
 
+def forest_cuts(spark, forest_model, path, features=FEATURES):
+    """Feature to its sorted split points; between them predictions don't change.
+
+    The model is saved to ``path``. A fitted forest splits a feature at a bin's
+    end, so there are at most as many points as bins.
+    """
+    forest_model.write().overwrite().save(path)
+    splits = spark.read.parquet(f"{path}/data").filter("nodeData.leftChild >= 0").select("nodeData.split.*")
+    points = splits.select(
+        "featureIndex", F.when(F.col("numCategories") < 0, F.col("leftCategoriesOrThreshold")[0]).alias("point"))
+    cuts = {}
+    for row in points.distinct().collect():
+        if row["point"] is None:
+            raise ValueError("a forest with categorical splits")
+        cuts.setdefault(features[row["featureIndex"]], []).append(row["point"])
+    return {feature: sorted(found) for feature, found in cuts.items()}
+
+
 def weather_features(weather, ts="ts", fahrenheit="fahrenheit", inches="precip_in"):
     """Weekday, hour and buckets of weather reports, beside their own columns."""
     return (

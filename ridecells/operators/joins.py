@@ -71,7 +71,7 @@ def join_by_row_key(table, derived, key):
     return table.join(derived, key, "left")
 
 
-def with_all_cells(weather, cells=None, most=GRID_CELLS):
+def with_all_cells(weather, cells=None, most=GRID_CELLS, beside=None):
     """Every weather row beside every cell, with the position of the cell.
 
     The weather rows are dealt out evenly first, because each becomes 100,000
@@ -80,10 +80,12 @@ def with_all_cells(weather, cells=None, most=GRID_CELLS):
     table of ``cells`` (column ``cell_id``, such as those seen in training)
     restricts them to the ids in it that are cells of the grid, so at most
     ``most`` ids are broadcast. A stream wants them stored (``known_cells``),
-    since it reads them at every trigger.
+    since it reads them at every trigger. ``beside`` adds columns to the dealt
+    rows, before they are multiplied.
     """
     tasks = int(weather.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weather = weather.repartition(tasks)
+    weather = beside(weather) if beside else weather
     if cells is None:
         crossed = weather.withColumn("cell_id", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     else:

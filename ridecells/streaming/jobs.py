@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ridecells.functions.text import cell_document
 from ridecells.functions.times import minute_of_hour, parse_weather_time
 from ridecells.models.forest import predicted_counts, weather_features
+from ridecells.models.lattice import CONDITIONS, Lattice
 from ridecells.operators.cleaning import enrich_or_drop
 from ridecells.operators.counts import count_by_window, popular, stamp_windows
 from ridecells.operators.joins import BROADCAST_ROWS, known_cells, with_all_cells
@@ -28,8 +29,6 @@ from ridecells.sinks.topics import write_topic
 from ridecells.sources.topics import read_topic
 from ridecells.streaming.event_time import pickup_time
 
-CONDITIONS = ["weekday", "hour", "temperature", "precipitation"]
-
 
 def celled_rides(rides, event_time=None):
     """Raw ride records with their cell, those without one dropped."""
@@ -110,15 +109,20 @@ def complete_reports(weather, only_rain_minute=False):
     return kept, (None if weather.isStreaming else observed)
 
 
-def predicted_demand(weather, scorer, cells=None, only_rain_minute=False):
+def predicted_demand(weather, scorer, cells=None, only_rain_minute=False, cuts=None):
     """Predicted count of every cell for every weather report, batch or stream.
 
     ``weather`` has ``datetime, fahrenheit, precip_in``; ``scorer`` adds the
     column ``prediction``. ``cells`` restricts the cells, and
     ``only_rain_minute`` the reports to those the training used.
 
-    The features of a report take few values (weekdays, hours, buckets). If a
-    count shows that a batch of reports has few combinations of them, and is
+    ``cuts`` are the numbers that a model of trees compares its features with
+    (``ensemble_cuts``, ``forest_cuts``). With them the model is scored once for
+    each class of conditions and cells, before any report is read, and reports,
+    those of a stream too, only look their counts up.
+
+    Without cuts: the features of a report take few values (weekdays, hours,
+    buckets). If a count shows that a batch of reports has few combinations of them, and is
     small enough to broadcast, each combination is scored once and handed to
     its reports. Otherwise, and on a stream, each report is scored. Incomplete
     reports are left out (:func:`complete_reports`).
@@ -126,6 +130,9 @@ def predicted_demand(weather, scorer, cells=None, only_rain_minute=False):
     reports, _ = complete_reports(weather, only_rain_minute)
     if cells is not None:
         cells = known_cells(cells)
+    if cuts is not None:
+        lattice = Lattice(cuts)
+        return lattice.predict(reports, lattice.counts(weather.sparkSession, scorer), cells)
     if not weather.isStreaming:
         reports = stored(reports, "reports")
     if weather.isStreaming or not _worth_sharing(reports):
@@ -136,13 +143,13 @@ def predicted_demand(weather, scorer, cells=None, only_rain_minute=False):
     return predicted_counts(matched)
 
 
-def run_prediction(spark, source, sink, scorer, *, cells=None, only_rain_minute=False,
+def run_prediction(spark, source, sink, scorer, *, cells=None, only_rain_minute=False, cuts=None,
                    fmt="kafka", options=None, encoding="json", key_encoding="text", checkpoint,
                    trigger=UNTIL_DONE):
     """Weather topic to predicted counts topic, keyed by cell."""
     weather = read_topic(spark, source, WEATHER_REPORT, fmt=fmt, options=options,
                          encoding=encoding)
-    predictions = predicted_demand(weather, scorer, cells, only_rain_minute)
+    predictions = predicted_demand(weather, scorer, cells, only_rain_minute, cuts)
     return write_topic(predictions, sink, key="cell_id", fmt=fmt, options=options,
                        encoding=encoding, key_encoding=key_encoding, checkpoint=checkpoint,
                        trigger=trigger)

@@ -10,16 +10,12 @@ from tests.compare import connect, difference
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = oracle_sql()
 
-# Some hundred million predictions each; tests.compare runs them, as does TEST_ALL=1.
-LONG = set() if os.environ.get("TEST_ALL") else {"predicted_demand_by_forest", "prediction_stream"}
-
-
 @pytest.fixture(scope="module")
 def db():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, db, name):
     frame = queries()[name](spark, FOLDER)
     if name in SQL:

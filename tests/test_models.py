@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridecells.catalog.ensembles import DEMAND_DOCUMENT, ZIP_ENSEMBLE
-from ridecells.models import ensemble, forest
+from ridecells.models import ensemble, forest, lattice
 from ridecells.schemas import CELL_COUNT, CELLED_RIDE, WEATHER_REPORT
 from ridecells.session import shared_folder
 from ridecells.sinks.topics import write_topic
@@ -122,16 +122,62 @@ def test_large_forests_become_flat_arrays(spark, conditions):
     assert ensemble.score_ensemble(trees, hole).first()["prediction"] is None
 
 
-def test_flat_arrays_score_as_nested_columns_do(spark, monkeypatch):
+BOTH_WAYS = pytest.mark.parametrize("most_tests", [0, 1_000_000])
+INF, NAN = float("inf"), float("nan")
+
+
+@BOTH_WAYS
+def test_unknown_inputs_and_categories(spark, monkeypatch, most_tests):
+    """One rule for a test, whichever form the trees take."""
+    monkeypatch.setattr(ensemble, "MOST_TESTS", most_tests)
+    split = ensemble.Ensemble([ensemble.Branches([(("x", "lessOrEqual", 1.5), ensemble.Leaf(1.0)), (("x", "greaterThan", 1.5), ensemble.Leaf(2.0))])], {})
+    rest = ensemble.Ensemble([ensemble.Branches([(("x", "notEqual", 2), ensemble.Leaf(1.0)), (None, ensemble.Leaf(2.0))])], {})
+    kinds = ensemble.Ensemble([ensemble.Branches([
+        (("kind", "equal", "b"), ensemble.Branches([(("x", "greaterOrEqual", 0), ensemble.Leaf(1.0)), (("x", "lessThan", 0), ensemble.Leaf(2.0))])),
+        (("kind", "greaterThan", "d"), ensemble.Leaf(3.0)), (("kind", "notEqual", "c"), ensemble.Leaf(4.0))])], {})
+    frame = spark.createDataFrame([(0, NAN, "b"), (1, None, "b"), (2, INF, None), (3, -INF, "b"), (4, 1.5, "b"), (5, 2.0, "c"), (6, 0.0, "e"),
+                                   (7, 0.0, "a"), (8, 0.0, "d"), (9, -0.0, "b"), (10, 0.0, "")], "id int, x double, kind string")
+
+    def scores(model, rows=frame):
+        return [r["prediction"] for r in ensemble.score_ensemble(model, rows).orderBy("id").collect()]
+
+    assert scores(split) == [None, None, 2.0, 1.0, 1.0, 2.0, 1.0, 1.0, 1.0, 1.0, 1.0]
+    assert scores(rest) == [2.0, 2.0, 1.0, 1.0, 1.0, 2.0, 1.0, 1.0, 1.0, 1.0, 1.0]
+    assert scores(kinds) == [None, None, None, 2.0, 1.0, None, 3.0, 4.0, 4.0, 1.0, 4.0]
+    declared = kinds._replace(categories={"kind": ("b", "d", "e")})
+    assert scores(declared) == [None, None, None, 2.0, 1.0, None, 3.0, None, 4.0, 1.0, None]
+    assert scores(split, frame.withColumn("x", F.col("x").cast("float")))[:3] == [None, None, 2.0]
+
+
+def test_the_number_of_trees_does_not_change_a_score(spark):
+    tree = ensemble.Branches([(("x", "lessOrEqual", 1.5), ensemble.Leaf(1.0)), (("x", "greaterThan", 1.5), ensemble.Leaf(2.0))])
+    frame = spark.createDataFrame([(NAN,), (None,), (1.0,), (INF,)], "x double")
+    one, many = ([r["prediction"] for r in ensemble.score_ensemble(ensemble.Ensemble([tree] * n, {}), frame).collect()] for n in (1, 150))
+    assert one == many == [None, None, 1.0, 2.0]
+
+
+def test_a_field_is_text_or_a_number():
+    model = ensemble.Ensemble([ensemble.Branches([(("a", "equal", "1"), ensemble.Leaf(1.0)), (("a", "equal", 1), ensemble.Leaf(2.0))])], {})
+    with pytest.raises(ValueError, match="text and as numbers"):
+        ensemble.ensemble_column(model)
+
+
+@BOTH_WAYS
+def test_flat_arrays_score_as_nested_columns_do(spark, monkeypatch, most_tests):
+    monkeypatch.setattr(ensemble, "MOST_TESTS", most_tests)
     model = ensemble.Ensemble([
         ensemble.Branches([(("a", "notEqual", 2), ensemble.Branches([
             (("b", "greaterOrEqual", 1.5), ensemble.Leaf(1.0)), (("b", "lessThan", 0.5), ensemble.Leaf(2.0))])),
             (("a", "equal", 2), ensemble.Leaf(3.0))]),
         ensemble.Branches([(("b", "greaterThan", 1), ensemble.Leaf(0.25)), (None, ensemble.Leaf(0.75))])], {"a": (1, 2, 3)})
-    frame = spark.createDataFrame([(a, b) for a in (None, 1, 2, 3, 4) for b in (None, 0.0, 0.5, 1.0, 1.5, 2.0)], "a int, b double")
-    nested = ensemble.score_ensemble(model, frame).collect()
-    monkeypatch.setattr(ensemble, "MOST_TESTS", 0)
-    assert ensemble.score_ensemble(model, frame).collect() == nested
+    values = [(a, b) for a in (None, 1, 2, 3, 4) for b in (None, 0.0, 0.5, 1.0, 1.5, 2.0)]
+
+    def expected(a, b):
+        first = 3.0 if a == 2 else None if b is None else 1.0 if b >= 1.5 else 2.0 if b < 0.5 else None
+        return None if first is None or a in (None, 4) else (first + (0.25 if b is not None and b > 1 else 0.75)) / 2
+
+    frame = spark.createDataFrame(values, "a int, b double")
+    assert [r["prediction"] for r in ensemble.score_ensemble(model, frame).collect()] == [expected(a, b) for a, b in values]
 
 
 def test_forests_with_categories_are_refused(spark):
@@ -230,6 +276,63 @@ def test_scores_are_shared_only_if_that_saves_work(spark):
     assert not jobs._worth_sharing(few.limit(90)) and not jobs._worth_sharing(few.limit(0))
 
 
+def test_classes_between_cuts():
+    first, numbers = lattice._classes([2.0, 4.5], range(8))
+    assert (first, numbers) == ([0, 2, 3, 5], [0, 0, 1, 2, 2, 3, 3, 3])
+    whole = lattice.Lattice({})
+    assert len(whole.xs) == len(whole.ys) == 1 and len({c[4:] for c in whole.conditions}) == 1
+    assert len(whole.conditions) == 7 * 24 * 5 * 3
+
+
+@pytest.fixture(scope="module")
+def reports(spark):
+    return spark.createDataFrame(
+        [("2014-05-07 09:51", 61.0, 0.0), ("2014-05-14 21:51", 12.0, 0.05), ("2014-05-07 09:21", 30.0, None),
+         ("2014-05-07 09:51", 61.0, 0.0), ("2014-05-11 03:51", 99.0, 2.0)], WEATHER_REPORT)
+
+
+def test_demand_from_the_lattice_is_that_of_every_cell(spark, conditions, reports, monkeypatch):
+    _, model = forest.train_forest(conditions, trees=6, depth=6)
+    trees = ensemble.ensemble_of_forest(spark, model.stages[-1], shared_folder(spark, "nodes"), forest.FEATURES)
+    cuts = forest.forest_cuts(spark, model.stages[-1], shared_folder(spark, "cuts"))
+    assert cuts == ensemble.ensemble_cuts(trees)
+
+    def scorer(frame):
+        return forest.score(model, frame)
+
+    fast, slow = (jobs.predicted_demand(reports, scorer, cuts=c) for c in (cuts, None))
+    assert fast.columns == slow.columns and fast.count() == slow.count() == 400_000
+    assert fast.exceptAll(slow).count() == 0
+    cells = spark.createDataFrame([(0,), (99_999,), (50_552,), (50_552,), (-1,)], "cell_id int")
+    some = jobs.predicted_demand(reports, scorer, cells, only_rain_minute=True, cuts=cuts)
+    assert sorted(some.collect()) == sorted(jobs.predicted_demand(reports, scorer, cells, only_rain_minute=True).collect())
+    monkeypatch.setattr(lattice, "_BROADCAST_COUNTS", 0)
+    assert sorted(jobs.predicted_demand(reports, scorer, cells, only_rain_minute=True, cuts=cuts).collect()) == sorted(some.collect())
+
+
+def test_a_scorer_that_drops_cells_is_noticed(spark, reports):
+    with pytest.raises(Exception, match="left cells out"):
+        jobs.predicted_demand(reports, lambda rows: rows.filter("cell_index_x < 9").withColumn("prediction", F.lit(1.0)), cuts={"cell_index_x": [8.5]})
+
+
+def test_a_restarted_prediction_stream_repeats_nothing(spark, reports, tmp_path):
+    folder = shared_folder(spark, "restart")
+    topic = {"fmt": "parquet", "options": {"path": f"{folder}/topics"}}
+    (tmp_path / "model.pmml").write_text(DEMAND_DOCUMENT)
+    model = ensemble.read_ensemble(spark, str(tmp_path / "model.pmml"))
+    cells = spark.createDataFrame([(0,), (70_000,)], "cell_id int")
+
+    def scorer(rows):
+        return ensemble.score_ensemble(model, rows)
+
+    for part in ("datetime < '2014-05-08'", "datetime >= '2014-05-08'", "false"):
+        write_topic(reports.filter(part), "weather", **topic)
+        jobs.run_prediction(spark, "weather", "predicted", scorer, cells=cells, cuts=ensemble.ensemble_cuts(model),
+                            checkpoint=f"{folder}/c", **topic).awaitTermination()
+    found = jobs.topic_values(spark, "predicted", CELL_COUNT, **topic)
+    assert sorted(found.collect()) == sorted(jobs.predicted_demand(reports, scorer, cells).collect())
+
+
 def test_demand_by_combination_and_by_report(spark, tmp_path, rows, monkeypatch):
     path = tmp_path / "model.pmml"
     path.write_text(DEMAND_DOCUMENT)
