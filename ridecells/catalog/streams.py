@@ -11,6 +11,7 @@ from ridecells.catalog import sql
 from ridecells.catalog.tables import RADIUS
 from ridecells.functions.numbers import clean_number
 from ridecells.operators import cleaning
+from ridecells.operators.counts import popular, stamp_windows
 from ridecells.plans import batch
 from ridecells.plans import derived_tables as derived
 from ridecells.schemas import (
@@ -281,6 +282,48 @@ def popular_cells_resumed(spark, folder):
     return place.values("popular", CELL_COUNT)
 
 
+def _partition(cell="pickup_cellid"):
+    return F.col(cell) % 2
+
+
+def popular_cells_by_partition(spark, folder):
+    """A topic of two partitions, read a file of each at a time; the second one lags by ten days."""
+    place = Place(spark, "popular-partitions")
+    celled = _celled_records(spark, folder)
+    day = F.col("pickup_datetime")
+    thirds = [day < "2024-01-11", (day >= "2024-01-11") & (day < "2024-01-21"), day >= "2024-01-21"]
+    odd_minutes = F.substring("pickup_datetime", 16, 1).cast("int") % 2 == 1
+    slow = [thirds[0] & odd_minutes, thirds[0] & ~odd_minutes, *thirds[1:]]
+    for number, parts in enumerate((thirds, slow)):
+        for part in parts:
+            own = celled.filter((_partition() == number) & part).coalesce(1)  # one file for each trigger
+            place.publish(own, f"celled/partition={number}", key="pickup_cellid")
+    options = {**place.topic["options"], "maxFilesPerTrigger": "1"}
+    jobs.run_popular_cells(
+        spark, "celled", "popular", threshold=2, partitions=[0, 1], checkpoint=place.path("c"),
+        fmt="parquet", options=options).awaitTermination()
+    return place.values("popular", CELL_COUNT)
+
+
+def popular_cells_by_panes(spark, folder):
+    place = Place(spark, "popular-panes")
+    place.publish(_celled_records(spark, folder), "celled", key="pickup_cellid")
+    jobs.run_popular_cells(spark, "celled", "popular", threshold=2, by_panes=True,
+                           checkpoint=place.path("c"), **place.topic).awaitTermination()
+    return place.values("popular", CELL_COUNT)
+
+
+def popular_and_open_cells(spark, folder):
+    """What the job emitted and the windows still open in its state, together those of a batch."""
+    place = Place(spark, "popular-open")
+    place.publish(_celled_records(spark, folder), "celled", key="pickup_cellid")
+    jobs.run_popular_cells(spark, "celled", "popular", threshold=2, checkpoint=place.path("c"),
+                           **place.topic).awaitTermination()
+    still_open = stamp_windows(popular(jobs.open_windows(spark, place.path("c")), 2))
+    closed = place.values("popular", CELL_COUNT)
+    return closed.withColumn("closed", F.lit(True)).union(still_open.withColumn("closed", F.lit(False)))
+
+
 def popular_documents_stream(spark, folder):
     place = Place(spark, "popular-documents")
     place.publish(_records(spark, folder), "rides")
@@ -349,6 +392,12 @@ QUERIES = [
     ("enrichment_stream", enrichment_stream, _CELLED),
     ("popular_cells_stream", popular_cells_stream, _CLOSED),
     ("popular_cells_resumed", popular_cells_resumed, _CLOSED),
+    ("popular_cells_by_partition", popular_cells_by_partition,
+     f"""SELECT datetime, cell_id, "count" FROM {_POPULAR} p WHERE window_end <= (SELECT min(last) FROM (
+         SELECT max(date_trunc('second', ts)) AS last FROM {sql.cells(sql.BUSY)} r GROUP BY cell_id % 2) x)"""),
+    ("popular_cells_by_panes", popular_cells_by_panes, _CLOSED),
+    ("popular_and_open_cells", popular_and_open_cells,
+     f"""SELECT datetime, cell_id, "count", window_end <= {sql.LAST_CELLED_TIME} AS closed FROM {_POPULAR} p"""),
     ("popular_documents_stream", popular_documents_stream,
      f"{_DOCUMENTS} WHERE window_end <= {sql.LAST_RIDE_TIME}"),
 ]

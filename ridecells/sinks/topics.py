@@ -35,18 +35,29 @@ def _target(writer, topic, fmt, options):
 
 
 def write_topic(df, topic, *, key=None, fmt="kafka", options=None, encoding="json",
-                key_encoding="text", checkpoint=None, trigger=UNTIL_DONE):
+                key_encoding="text", checkpoint=None, trigger=UNTIL_DONE, partitions=None):
     """Append the rows to a topic.
 
+    ``partitions`` deals records in files out to so many numbered partitions by
+    their key, as a broker does by itself; records without a key go to the first.
+
     A stream needs a checkpoint folder and gives back the started query. By
     default it stops when the input present at the start is done.
     """
     records = keyed_records(df, key, encoding, key_encoding)
+    dealt = partitions is not None and fmt != "kafka"
+    if dealt:
+        place = F.pmod(F.xxhash64("key"), F.lit(partitions))
+        records = records.withColumn("partition", F.when(F.col("key").isNull(), 0).otherwise(place).cast("int"))
+
+    def onto(writer):
+        return _target(writer.partitionBy("partition") if dealt else writer, topic, fmt, options)
+
     if not df.isStreaming:
-        _target(records.write.mode("append"), topic, fmt, options).save()
+        onto(records.write.mode("append")).save()
         return None
     return (
-        _target(records.writeStream.outputMode("append"), topic, fmt, options)
+        onto(records.writeStream.outputMode("append"))
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 

@@ -2,9 +2,14 @@
 
 The format is a parameter, so a job can be tried on files and then pointed at
 a broker. For files, Spark's own metadata gives what a broker gives: the file
-is the partition and the row index in it is the offset.
+is the partition and the row index in it is the offset. A topic in files may
+also have numbered partitions, one folder each.
 """
 
+import json
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -12,6 +17,7 @@ from ridecells.functions.numbers import int_from_bytes
 from ridecells.schemas import avro_schema
 
 UNDATED = "records without a time"
+_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
 
 KEY_VALUE = StructType([
     StructField("key", StringType(), True),
@@ -19,16 +25,20 @@ KEY_VALUE = StructType([
 ])
 
 
-def _open(spark, topic, fmt, options, streaming):
+def _open(spark, topic, fmt, options, streaming, partition=None):
     reader = (spark.readStream if streaming else spark.read).format(fmt)
     options = dict(options or {})
     if fmt != "kafka":
         folder = options.pop("path").rstrip("/")
-        return reader.schema(KEY_VALUE).options(**options).load(f"{folder}/{topic}")
+        part = "" if partition is None else f"/partition={partition}"
+        return reader.schema(KEY_VALUE).options(**options).load(f"{folder}/{topic}{part}")
     options.setdefault("startingOffsets", "earliest")
     if not streaming:
         options.setdefault("endingOffsets", "latest")
-    return reader.options(**options).option("subscribe", topic).load()
+    reader = reader.options(**options)
+    if partition is None:
+        return reader.option("subscribe", topic).load()
+    return reader.option("assign", json.dumps({topic: [partition]})).load()
 
 
 def _key(key_type, key_encoding):
@@ -47,7 +57,7 @@ def _value(schema, encoding):
 
 def read_topic(spark, topic, value_schema, *, fmt="kafka", options=None, key_type="string",
                key_encoding="text", encoding="json", streaming=True, event_time=None,
-               delay="0 seconds"):
+               delay="0 seconds", partitions=None):
     """Records of a topic as ``key`` and the fields of the value.
 
     ``options`` are connector options (``kafka.bootstrap.servers``, or
@@ -56,18 +66,32 @@ def read_topic(spark, topic, value_schema, *, fmt="kafka", options=None, key_typ
     added as ``ts`` and, on a stream, carries the watermark. Records without
     such a time are dropped; a stream reports their number in its progress, as
     ``dropped`` of "records without a time".
+
+    ``partitions`` are numbers of the topic's partitions. Each is then a source
+    of its own, and a stream has a watermark for each and goes by the slowest:
+    records of a partition that lags are not late because another is ahead, and
+    a partition without a record holds all windows open.
     """
-    log = _open(spark, topic, fmt, options, streaming)
-    records = log.select(
-        _key(key_type, key_encoding).alias("key"), _value(value_schema, encoding).alias("_value"),
-    ).select("key", "_value.*")
+    def decoded(partition):
+        log = _open(spark, topic, fmt, options, streaming, partition)
+        records = log.select(
+            _key(key_type, key_encoding).alias("key"), _value(value_schema, encoding).alias("_value"),
+        ).select("key", "_value.*")
+        return records if event_time is None else records.withColumn("ts", event_time)
+
+    def timed(records, name=UNDATED):
+        if not streaming:
+            return records.filter(F.col("ts").isNotNull())
+        records = records.observe(name, F.count_if(F.col("ts").isNull()).alias("dropped"))
+        return records.filter(F.col("ts").isNotNull()).withWatermark("ts", delay)
+
+    if partitions is None:
+        return decoded(None) if event_time is None else timed(decoded(None))
     if event_time is None:
-        return records
-    records = records.withColumn("ts", event_time)
-    if not streaming:
-        return records.filter(F.col("ts").isNotNull())
-    records = records.observe(UNDATED, F.count_if(F.col("ts").isNull()).alias("dropped"))
-    return records.filter(F.col("ts").isNotNull()).withWatermark("ts", delay)
+        return reduce(DataFrame.union, map(decoded, partitions))
+    if spark.conf.get(_POLICY, "min") != "min":
+        raise ValueError(f"partitions need {_POLICY} to be min")
+    return reduce(DataFrame.union, [timed(decoded(p), f"{UNDATED} in partition {p}") for p in partitions])
 
 
 def read_topic_keys(spark, topic, *, fmt="kafka", options=None, key_type="string",

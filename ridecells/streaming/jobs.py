@@ -35,12 +35,12 @@ def celled_rides(rides, event_time=None):
     return enrich_or_drop(rides, event_time=event_time)[0]
 
 
-def popular_counts(celled, size=WINDOW_MINUTES, every=SLIDE_MINUTES, threshold=POPULAR_COUNT):
+def popular_counts(celled, size=WINDOW_MINUTES, every=SLIDE_MINUTES, threshold=POPULAR_COUNT, by_panes=False):
     """Records ``datetime, cell_id, count`` of popular cells, batch or stream.
 
     A stream emits a window once, when the watermark has passed its end.
     """
-    counts = count_by_window(celled, size, every, cell="pickup_cellid")
+    counts = count_by_window(celled, size, every, cell="pickup_cellid", by_panes=by_panes)
     return stamp_windows(popular(counts, threshold))
 
 
@@ -55,18 +55,41 @@ def run_enrichment(spark, source, sink, *, fmt="kafka", options=None, encoding="
 
 
 def run_popular_cells(spark, source, sink, *, size=WINDOW_MINUTES, every=SLIDE_MINUTES,
-                      threshold=POPULAR_COUNT, delay="0 seconds", fmt="kafka", options=None,
-                      encoding="json", key_encoding="text", checkpoint, trigger=UNTIL_DONE):
-    """Celled rides topic to popular cells topic, keyed by cell."""
+                      threshold=POPULAR_COUNT, delay="0 seconds", partitions=None, by_panes=False,
+                      fmt="kafka", options=None, encoding="json", key_encoding="text", checkpoint,
+                      trigger=UNTIL_DONE):
+    """Celled rides topic to popular cells topic, keyed by cell.
+
+    With the ``partitions`` of the source the slowest of them closes windows;
+    see :func:`ridecells.sources.topics.read_topic`, and for ``by_panes``
+    :func:`ridecells.operators.counts.count_by_window`.
+    """
     celled = read_topic(spark, source, CELLED_RIDE, fmt=fmt, options=options, key_type="int",
                         key_encoding=key_encoding, encoding=encoding,
-                        event_time=pickup_time(), delay=delay)
-    counts = popular_counts(celled, size, every, threshold)
+                        event_time=pickup_time(), delay=delay, partitions=partitions)
+    counts = popular_counts(celled, size, every, threshold, by_panes)
     return write_topic(counts, sink, key="cell_id", fmt=fmt, options=options,
                        encoding=encoding, key_encoding=key_encoding, checkpoint=checkpoint,
                        trigger=trigger)
 
 
+def open_windows(spark, checkpoint, batch=None):
+    """Counts of windows that a popular-cells job hasn't closed: ``cell_id, window_start, window_end, count``.
+
+    They are read from the state that the job stored in its checkpoint, as of
+    its last batch or of the one given. A job with ``by_panes`` keeps open panes
+    too; their rides are not in these counts yet.
+    """
+    reader = spark.read.format("statestore").option("path", checkpoint)
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    state = reader.load()
+    window, cell = [F.col("key").getField(f.name) for f in state.schema["key"].dataType.fields][:2]
+    count = F.col("value").getField(state.schema["value"].dataType.fields[0].name)
+    return state.select(
+        cell.alias("cell_id"), window["start"].alias("window_start"), window["end"].alias("window_end"), count.alias("count"))
+
+
 def cell_documents(counts):
     return counts.select(cell_document("datetime", "cell_id", "count").alias("document"))
 

@@ -177,3 +177,114 @@ def test_predictions_run_as_a_stream_over_the_whole_grid(spark):
         F.count_distinct("cell_id"), F.min("count"), F.max("count"))
     assert sorted(tuple(r) for r in counts.collect()) == [
         ("2014-05-07 09:21", 100_000, 5, 5), ("2014-05-07 09:51", 100_000, 3, 3)]
+
+
+def _days(*clock, day="2014-05-07"):
+    return [(f"{day} {c}", cell) for c, cell in clock]
+
+
+def _lagging(spark):
+    """Two partitions of alternating files; the second is hours behind the first."""
+    topics = Topics(spark)
+    ahead = [[("10:00:00", 10), ("10:03:00", 10)], [("11:00:00", 10)], [("12:00:00", 10)], [("13:00:00", 10)]]
+    behind = [[("07:01:00", 20), ("07:00:00", 20)], [("08:01:00", 20), ("08:02:00", 10)], [("09:01:00", 20)], [("12:30:00", 20)]]
+    for files in zip(ahead, behind):
+        for number, rides in enumerate(files):
+            write_topic(celled(spark, _days(*rides)).coalesce(1), f"celled/partition={number}", key="pickup_cellid", **topics.how)
+    topics.how["options"]["maxFilesPerTrigger"] = "1"
+    return topics, [r for files in (*ahead, *behind) for r in files]
+
+
+def test_the_slowest_partition_closes_windows(spark, rows):
+    topics, rides = _lagging(spark)
+    topics.run(threshold=1, partitions=[0, 1])
+    timed = celled(spark, _days(*rides)).withColumn("ts", F.col("pickup_datetime").cast("timestamp"))
+    batch = rows(jobs.popular_counts(timed, threshold=1))
+    assert topics.result() == [r for r in batch if r[0] <= "2014-05-07T12:30:00"]  # the last time of the slower one
+    one_mark, _ = _lagging(spark)
+    one_mark.run(threshold=1)
+    lost = set(topics.result()) - set(one_mark.result())
+    assert lost and all("07:00" < r[0][11:] < "10:00" for r in lost)  # rides of the slower one came too late there
+
+
+def test_an_empty_partition_holds_windows_open(spark):
+    topics = Topics(spark)
+    write_topic(celled(spark, RIDES).coalesce(1), "celled/partition=0", key="pickup_cellid", **topics.how)
+    write_topic(celled(spark, []), "celled/partition=1", key="pickup_cellid", **topics.how)
+    topics.run(threshold=1, partitions=[0, 1])
+    assert topics.result() == []
+
+
+def test_partitions_need_the_slowest_mark(spark):
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    spark.conf.set(name, "max")
+    try:
+        with pytest.raises(ValueError, match="min"):
+            Topics(spark).run(partitions=[0])
+    finally:
+        spark.conf.unset(name)
+
+
+def test_records_are_dealt_to_partitions_by_key(spark):
+    base = shared_folder(spark, "dealt")
+    how = {"fmt": "parquet", "options": {"path": base}}
+    records = spark.range(60).select((F.col("id") % 9).cast("int").alias("cell"), F.col("id"))
+    write_topic(records, "numbers", key="cell", partitions=3, **how)
+    write_topic(records.filter("id < 5"), "numbers", partitions=3, **how)
+    stored = spark.read.parquet(f"{base}/numbers")
+    keyed = stored.filter("key is not null")
+    assert keyed.count() == 60 and keyed.select("key", "partition").distinct().count() == 9
+    assert {r[0] for r in stored.filter("key is null").select("partition").distinct().collect()} == {0}
+    parts = read_topic(spark, "numbers", "cell int, id long", streaming=False, partitions=[0, 1, 2], **how)
+    assert parts.count() == 65
+
+
+def _states(query):
+    last = {}
+    for p in query.recentProgress:
+        for i, op in enumerate(p.stateOperators):
+            last[i] = max(last.get(i, 0), op.numRowsUpdated)
+    return last
+
+
+def test_panes_on_a_stream_give_what_windows_give(spark):
+    results, states = [], []
+    for by_panes in (False, True):
+        topics = Topics(spark)
+        for rides in ([("09:00:01", 10), ("09:04:00", 10), ("09:14:59", 10), ("09:16:00", 20)],
+                      [("09:03:00", 10), ("09:12:00", 10), ("09:20:00", 10)],  # late by less than the delay
+                      [("10:00:00", 10)], [("11:00:00", 10)]):
+            topics.send(_days(*rides))
+            states.append(_states(topics.run(threshold=1, delay="20 minutes", by_panes=by_panes)))
+        results.append(topics.result())
+    assert results[0] == results[1] and len(results[0]) > 5
+    assert results[0] == [r for r in results[0] if r[0] < "2014-05-07T10:40"]
+
+
+def test_a_ride_changes_one_pane_and_three_windows(spark):
+    updated = []
+    for by_panes in (False, True):
+        topics = Topics(spark)
+        topics.send([(f"2014-05-07 09:{m:02}:00", 10) for m in range(60)])
+        updated.append(max(_states(topics.run(threshold=1, delay="2 hours", by_panes=by_panes)).values()))
+    assert updated == [14, 12]  # windows that touch an hour, and its panes
+
+
+def test_emitted_and_open_windows_are_those_of_a_batch(spark, rows):
+    topics = Topics(spark)
+    topics.send(RIDES)
+    topics.run(threshold=1)
+    still_open = stamp_windows(jobs.open_windows(spark, f"{topics.base}/c"))
+    timed = celled(spark, RIDES).withColumn("ts", F.col("pickup_datetime").cast("timestamp"))
+    assert sorted(topics.result() + rows(still_open)) == rows(jobs.popular_counts(timed, threshold=1))
+    assert still_open.count() == 3  # those that hold the last ride
+
+
+def test_open_windows_of_an_earlier_batch(spark):
+    topics = Topics(spark)
+    topics.send(RIDES[:3])
+    topics.run(threshold=1)
+    first = jobs.open_windows(spark, f"{topics.base}/c", batch=0).count()
+    topics.send([("2014-05-08 09:00:00", 10)])
+    topics.run(threshold=1)
+    assert first == 6 and jobs.open_windows(spark, f"{topics.base}/c").count() == 3
