@@ -19,11 +19,11 @@ def numbers(spark, n):
     return spark.range(n).select(value.alias("v"), (i % 10).alias("w"))
 
 
-@pytest.mark.parametrize("n, accuracy", [(5000, 100_000), (60_000, 1000), (60_000, 50_000), (1, 10)])
-def test_describe_equals_pandas(spark, n, accuracy):
+@pytest.mark.parametrize("n, size, most", [(5000, 8192, 10 ** 6), (60_000, 64, 500), (60_000, 200, 10), (60_000, 8192, 10 ** 6), (1, 8, 1)])
+def test_describe_equals_pandas(spark, n, size, most):
     frame = numbers(spark, n)
     expected = frame.toPandas().describe()
-    for row in profile.describe(frame, ["v", "w"], accuracy).collect():
+    for row in profile.describe(frame, ["v", "w"], size, most).collect():
         wanted = expected[row["column"]]
         names = {"count": "count", "mean": "mean", "min": "min", "q25": "25%", "q50": "50%",
                  "q75": "75%", "max": "max"}
@@ -41,6 +41,26 @@ def test_other_quantiles(spark):
     assert got == {q: pytest.approx(series.quantile(q), rel=1e-12) for q in got} and len(got) == 5
 
 
+def test_misplaced_brackets_are_opened(spark, monkeypatch):
+    frame = numbers(spark, 20_000)
+    expected = frame.toPandas()["v"].quantile([0.25, 0.5, 0.75]).tolist()
+    monkeypatch.setattr(profile, "_slack", lambda size: -0.1)  # both ends on the wrong side
+    assert [r["value"] for r in profile.exact_quantiles(frame, ["v"], most=100).collect()] == pytest.approx(expected, rel=1e-12)
+    monkeypatch.setattr(profile, "_slack", lambda size: 0.0)
+    assert [r["value"] for r in profile.exact_quantiles(frame, ["v"], size=16, most=100).collect()] == pytest.approx(expected, rel=1e-12)
+
+
+def test_quantiles_of_repeated_values_and_not_a_numbers(spark):
+    frame = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") / 100).alias("hot"),
+        F.when(F.col("id") < 3000, F.lit(float("nan"))).otherwise(F.col("id").cast("double")).alias("gaps"))
+    hot = frame.toPandas()["hot"]
+    got = {(r["column"], r["share"]): r["value"] for r in profile.exact_quantiles(frame, ["hot", "gaps"], (0.1, 0.5, 0.9), 32, 5).collect()}
+    assert [got["hot", q] for q in (0.1, 0.5, 0.9)] == pytest.approx(hot.quantile([0.1, 0.5, 0.9]).tolist())
+    assert got["gaps", 0.1] == pytest.approx(3000 + 0.1 * 8999) and got["gaps", 0.5] == pytest.approx(3000 + 0.5 * 8999)
+    assert got["gaps", 0.9] != got["gaps", 0.9]
+
+
 def test_describe_of_an_empty_column(spark):
     frame = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
     got = {r["column"]: (r["count"], r["q50"]) for r in profile.describe(frame, ["a", "b"]).collect()}
