@@ -37,8 +37,8 @@ MOST_FREQUENT = 1 << 17
 _PREFIX_SHARE = 16
 #: Documents of one batch that share a shingle before it is counted as frequent.
 _BATCH_SHARE = 3
-_BATCH_HASHES = 2_000_000
-_KEPT_WORDS = 500_000
+_BATCH_HASHES = 500_000
+_KEPT_WORDS = 100_000
 #: Bits of the maps that keep most texts, and most shingles, from a join that then decides.
 _TEXT_BITS = 1 << 22
 _SHINGLE_BITS = 1 << 26
@@ -89,8 +89,10 @@ def _prefix_size(n, percent):
     return min(n, n - _least_overlap(n, percent) + _asked(n))
 
 
-def _columns(batch):
-    return [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+def _rows(batch):
+    """The rows of a batch one by one, so that its texts aren't all held twice."""
+    for row in zip(*batch.columns):
+        yield [value.as_py() for value in row]
 
 
 def _digests(docs, size):
@@ -109,7 +111,7 @@ def _digests(docs, size):
 
         for batch in batches:
             out = []
-            for key_a, key_b, doc_id, text in zip(*_columns(batch)):
+            for key_a, key_b, doc_id, text in _rows(batch):
                 own = shingles(text, size)
                 key = xxhash.xxh3_128_digest(own.tobytes())
                 out.append((key_a, key_b, doc_id, len(own), key, None, None))
@@ -169,7 +171,7 @@ def _prefixes(docs, size, percent, order):
     def cut(batches):
         for batch in batches:
             out, seen = [], set()
-            for text in batch.column(0).to_pylist():
+            for text, in _rows(batch):
                 own = shingles(text, size)
                 key = xxhash.xxh3_128_digest(own.tobytes())
                 if not len(own) or key in seen:
@@ -262,7 +264,7 @@ def _linked(docs, pairs, owners, size, percent):
     def compare(batches):
         for batch in batches:
             kept = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for _, _, left, right in _rows(batch):
                 x, y = shingles(left, size), shingles(right, size)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 kept.append(100 * common >= percent * (len(x) + len(y) - common))
