@@ -18,6 +18,7 @@ from ridecells.schemas import (
     CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, RIDE_FILE, WEATHER_REPORT,
 )
 from ridecells.session import shared_folder
+from ridecells.sinks.bulk import read_index
 from ridecells.sinks.tables import index_documents, replace_table, write_csv
 from ridecells.sinks.topics import publish_rides, write_topic
 from ridecells.sources import files, topics
@@ -333,6 +334,17 @@ def popular_documents_stream(spark, folder):
     return spark.read.schema(DOCUMENT).json(place.path("index"))
 
 
+def indexed_by_id(spark, folder):
+    """The stream run a second time from a new checkpoint over the same index: nothing is repeated."""
+    place = Place(spark, "indexed-by-id")
+    place.publish(_records(spark, folder), "rides")
+    for attempt in ("first", "second"):
+        jobs.run_popular_documents(
+            spark, "rides", place.path("index"), threshold=2, by_id=True, checkpoint=place.path(attempt),
+            **place.topic).awaitTermination()
+    return read_index(spark, place.path("index"), DOCUMENT)
+
+
 _RECORD = f"""SELECT {sql.RIDE_TIME} AS pickup_datetime, lat AS pickup_latitude,
     lon AS pickup_longitude FROM {sql.BUSY} r"""
 _CELLED = f"""SELECT {sql.RIDE_TIME} AS pickup_datetime, lat AS pickup_latitude,
@@ -343,9 +355,10 @@ _POPULAR = f"""(SELECT {sql.STAMP} AS datetime, cell_id, "count", window_end
 _CLOSED = f"""SELECT datetime, cell_id, "count" FROM {_POPULAR} p
     WHERE window_end <= {sql.LAST_CELLED_TIME}"""
 _LAT, _LON = sql.center("cell_id")
-_DOCUMENTS = f"""SELECT datetime AS time,
+_DOCUMENT = f"""datetime AS time,
     CAST({_LAT} AS VARCHAR) || ',' || CAST({_LON} AS VARCHAR) AS location, "count" AS cnt
     FROM {_POPULAR} p"""
+_DOCUMENTS = f"SELECT {_DOCUMENT}"
 
 QUERIES = [
     ("csv_scan_inferred", csv_scan_inferred,
@@ -400,4 +413,6 @@ QUERIES = [
      f"""SELECT datetime, cell_id, "count", window_end <= {sql.LAST_CELLED_TIME} AS closed FROM {_POPULAR} p"""),
     ("popular_documents_stream", popular_documents_stream,
      f"{_DOCUMENTS} WHERE window_end <= {sql.LAST_RIDE_TIME}"),
+    ("indexed_by_id", indexed_by_id,
+     f"SELECT cell_id || '@' || datetime AS id, {_DOCUMENT} WHERE window_end <= {sql.LAST_RIDE_TIME}"),
 ]

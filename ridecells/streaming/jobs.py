@@ -24,6 +24,7 @@ from ridecells.schemas import (
     WEATHER_REPORT, WINDOW_MINUTES,
 )
 from ridecells.session import stored
+from ridecells.sinks.bulk import index_by_id
 from ridecells.sinks.tables import index_documents
 from ridecells.sinks.topics import write_topic
 from ridecells.sources.topics import read_topic
@@ -94,14 +95,26 @@ def cell_documents(counts):
     return counts.select(cell_document("datetime", "cell_id", "count").alias("document"))
 
 
+def documents_by_id(counts):
+    """``id``, made from cell and window, and the cell's ``document``."""
+    key = F.concat_ws("@", F.col("cell_id").cast("string"), "datetime")
+    return counts.select(key.alias("id"), cell_document("datetime", "cell_id", "count").alias("document"))
+
+
 def run_popular_documents(spark, source, index_path, *, size=WINDOW_MINUTES, every=SLIDE_MINUTES,
                           threshold=POPULAR_COUNT, delay="0 seconds", fmt="kafka", options=None,
-                          encoding="json", index_format="text", index_options=None, checkpoint,
-                          trigger=UNTIL_DONE):
-    """Raw rides topic to index documents of popular cells, in one query."""
+                          encoding="json", index_format="text", index_options=None, by_id=False,
+                          checkpoint, trigger=UNTIL_DONE):
+    """Raw rides topic to index documents of popular cells, in one query.
+
+    With ``by_id`` the documents go to a bulk index (:mod:`ridecells.sinks.bulk`),
+    where a repeated batch or window replaces what it wrote before.
+    """
     rides = read_topic(spark, source, RAW_RIDE, fmt=fmt, options=options, encoding=encoding,
                        event_time=pickup_time(), delay=delay)
     counts = popular_counts(celled_rides(rides, event_time="ts"), size, every, threshold)
+    if by_id:
+        return index_by_id(documents_by_id(counts), index_path, checkpoint=checkpoint, trigger=trigger)
     return index_documents(cell_documents(counts), index_path, fmt=index_format,
                            options=index_options, checkpoint=checkpoint, trigger=trigger)
 
