@@ -15,7 +15,7 @@ from ridecells.operators.counts import popular, stamp_windows
 from ridecells.plans import batch
 from ridecells.plans import derived_tables as derived
 from ridecells.schemas import (
-    CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, RIDE_FILE, WEATHER_REPORT,
+    CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, REJECTED, RIDE_FILE, RIDE_TIME_FORMAT, WEATHER_REPORT,
 )
 from ridecells.session import shared_folder
 from ridecells.sinks.bulk import read_index
@@ -334,6 +334,19 @@ def popular_documents_stream(spark, folder):
     return spark.read.schema(DOCUMENT).json(place.path("index"))
 
 
+def rejected_rides(spark, folder):
+    """A topic with broken values, bad times and bad places among the rides: events per reason, from what the job wrote."""
+    place = Place(spark, "rejected")
+    rides = derived.busy_rides(spark, folder)
+    number, value = F.col("event_id"), F.to_json(F.struct("pickup_datetime", "pickup_latitude", "pickup_longitude"))
+    time = F.when(number % 37 == 0, F.lit("some day")).otherwise(F.date_format("ts", RIDE_TIME_FORMAT))
+    records = rides.withColumns({"pickup_datetime": time, "pickup_latitude": F.col("lat"), "pickup_longitude": F.col("lon")})
+    whole = F.when(number % 31 == 0, F.substring(value, 1, 40)).otherwise(value)
+    records.select(F.lit(None).cast("string").alias("key"), whole.alias("value")).write.parquet(place.path("topics/rides"))
+    jobs.run_rejected(spark, "rides", "rejected", checkpoint=place.path("c"), **place.topic).awaitTermination()
+    return place.values("rejected", REJECTED).groupBy("reason").agg(F.count("*").alias("records"), F.count_distinct("partition", "offset").alias("places"))
+
+
 def indexed_by_id(spark, folder):
     """The stream run a second time from a new checkpoint over the same index: nothing is repeated."""
     place = Place(spark, "indexed-by-id")
@@ -413,6 +426,10 @@ QUERIES = [
      f"""SELECT datetime, cell_id, "count", window_end <= {sql.LAST_CELLED_TIME} AS closed FROM {_POPULAR} p"""),
     ("popular_documents_stream", popular_documents_stream,
      f"{_DOCUMENTS} WHERE window_end <= {sql.LAST_RIDE_TIME}"),
+    ("rejected_rides", rejected_rides,
+     f"""SELECT CASE WHEN event_id % 31 = 0 THEN 'broken value' WHEN event_id % 37 = 0 THEN 'no time' ELSE 'bad place' END AS reason,
+         count(*) AS records, count(*) AS places FROM {sql.BUSY} r
+         WHERE event_id % 31 = 0 OR event_id % 37 = 0 OR NOT {sql.INSIDE} GROUP BY reason"""),
     ("indexed_by_id", indexed_by_id,
      f"SELECT cell_id || '@' || datetime AS id, {_DOCUMENT} WHERE window_end <= {sql.LAST_RIDE_TIME}"),
 ]

@@ -65,6 +65,13 @@ WEATHER_REPORT = _struct(
     ("precip_in", DoubleType()),
 )
 
+REJECTED = _struct(
+    ("reason", StringType()),
+    ("value", StringType()),
+    ("partition", StringType()),
+    ("offset", LongType()),
+)
+
 DOCUMENT = _struct(
     ("time", StringType()),
     ("location", StringType()),

@@ -129,3 +129,29 @@ def end_offsets(log):
 
 def first_records(log, n=20):
     return log.orderBy("partition", "offset").limit(n)
+
+
+BROKEN, NO_TIME, BAD_PLACE = "broken value", "no time", "bad place"
+
+
+def checked_topic(spark, topic, value_schema, *, event_time, usable, fmt="kafka", options=None, encoding="json", streaming=True):
+    """Records of a topic with what a reader would drop: the raw ``value``, its place and the ``reason``.
+
+    ``partition`` and ``offset`` are the place in the topic (file and row for
+    files), ``ts`` is the event time over the fields, ``usable`` a condition
+    over the fields. The first that fails is the reason; a record without one is
+    good. A null value is broken. Values are JSON here.
+    """
+    if encoding != "json":
+        raise ValueError("only JSON values are checked one by one")
+    log = _open(spark, topic, fmt, options, streaming)
+    place = [F.col("partition").cast("string"), "offset"] if fmt == "kafka" else [
+        F.col("_metadata.file_name").alias("partition"), F.col("_metadata.row_index").alias("offset")]
+    text = F.col("value").cast("string")
+    layout = StructType([*value_schema.fields, StructField("_broken", StringType())])
+    parsed = F.from_json(text, layout, {"columnNameOfCorruptRecord": "_broken"})
+    records = log.select(text.alias("value"), *place, parsed.alias("_parsed")).select("value", "partition", "offset", "_parsed.*")
+    records = records.withColumn("ts", event_time)
+    broken = F.col("value").isNull() | (F.trim("value") == "") | F.col("_broken").isNotNull()
+    reason = F.when(broken, BROKEN).when(F.col("ts").isNull(), NO_TIME).when(~F.coalesce(usable, F.lit(False)), BAD_PLACE)
+    return records.withColumn("reason", reason).drop("_broken")

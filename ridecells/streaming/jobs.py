@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from ridecells.functions.grid import in_box
 from ridecells.functions.text import cell_document
 from ridecells.functions.times import minute_of_hour, parse_weather_time
 from ridecells.models.forest import predicted_counts, weather_features
@@ -27,7 +28,7 @@ from ridecells.session import stored
 from ridecells.sinks.bulk import index_by_id
 from ridecells.sinks.tables import index_documents
 from ridecells.sinks.topics import write_topic
-from ridecells.sources.topics import read_topic
+from ridecells.sources.topics import checked_topic, read_topic
 from ridecells.streaming.event_time import pickup_time
 
 
@@ -55,6 +56,23 @@ def run_enrichment(spark, source, sink, *, fmt="kafka", options=None, encoding="
                        trigger=trigger)
 
 
+def checked_rides(spark, source, *, fmt="kafka", options=None, streaming=True):
+    """Raw rides of a topic, each with the ``reason`` for which no job can use it, or null."""
+    return checked_topic(spark, source, RAW_RIDE, event_time=pickup_time(), usable=in_box("pickup_latitude", "pickup_longitude"),
+                         fmt=fmt, options=options, streaming=streaming)
+
+
+def run_rejected(spark, source, sink, *, fmt="kafka", options=None, checkpoint, trigger=UNTIL_DONE):
+    """Raw rides that no job can use to a topic of their own, keyed by reason: the side output of the enrichment.
+
+    A query beside the others, with its own checkpoint: neither holds the other
+    up, and each writes its records once.
+    """
+    bad = checked_rides(spark, source, fmt=fmt, options=options).filter(F.col("reason").isNotNull())
+    return write_topic(bad.select("reason", "value", "partition", "offset"), sink, key="reason", fmt=fmt, options=options,
+                       checkpoint=checkpoint, trigger=trigger)
+
+
 def run_popular_cells(spark, source, sink, *, size=WINDOW_MINUTES, every=SLIDE_MINUTES,
                       threshold=POPULAR_COUNT, delay="0 seconds", partitions=None, by_panes=False,
                       fmt="kafka", options=None, encoding="json", key_encoding="text", checkpoint,

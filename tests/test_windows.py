@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridecells.operators.counts import count_by_window, popular, stamp_windows
-from ridecells.schemas import CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, WEATHER_REPORT
+from ridecells.schemas import CELL_COUNT, CELLED_RIDE, DOCUMENT, RAW_RIDE, REJECTED, WEATHER_REPORT
 from ridecells.session import shared_folder
 from ridecells.sinks.topics import write_topic
 from ridecells.sources.topics import read_topic
@@ -288,3 +288,21 @@ def test_open_windows_of_an_earlier_batch(spark):
     topics.send([("2014-05-08 09:00:00", 10)])
     topics.run(threshold=1)
     assert first == 6 and jobs.open_windows(spark, f"{topics.base}/c").count() == 3
+
+
+def test_unusable_records_go_to_a_topic_of_their_own(spark):
+    topics = Topics(spark)
+    good = '{"pickup_datetime":"2014-05-07 09:00:00","pickup_latitude":40.7,"pickup_longitude":-73.9}'
+    bad = {'{"pickup_datetime":"2014-05-': "broken value", "": "broken value", "  ": "broken value", None: "broken value", "[1": "broken value",
+           '{"pickup_datetime":"2014-05-07 09:00:00","pickup_latitude":"far","pickup_longitude":-73.9}': "broken value",
+           good.replace("05-07", "15-07"): "no time", "{}": "no time", good.replace("40.7", "0.0"): "bad place",
+           '{"pickup_datetime":"2014-05-07 09:00:00","pickup_latitude":40.7}': "bad place"}
+    values = [(None, v) for v in (good, *bad, good)]
+    spark.createDataFrame(values, "key string, value string").coalesce(1).write.parquet(f"{topics.base}/rides")
+    for _ in range(2):
+        jobs.run_rejected(spark, "rides", "rejected", checkpoint=f"{topics.base}/r", **topics.how).awaitTermination()
+    found = jobs.topic_values(spark, "rejected", REJECTED, **topics.how).collect()
+    assert {r["value"]: r["reason"] for r in found} == bad and len(found) == len(bad)
+    assert sorted(r["offset"] for r in found) == list(range(1, len(bad) + 1))
+    checked = jobs.checked_rides(spark, "rides", streaming=False, **topics.how)
+    assert checked.filter("reason is null").select("pickup_latitude").collect() == [(40.7,), (40.7,)]
