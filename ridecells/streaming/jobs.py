@@ -120,17 +120,18 @@ def documents_by_id(counts):
 
 
 def run_popular_documents(spark, source, index_path, *, size=WINDOW_MINUTES, every=SLIDE_MINUTES,
-                          threshold=POPULAR_COUNT, delay="0 seconds", fmt="kafka", options=None,
-                          encoding="json", index_format="text", index_options=None, by_id=False,
+                          threshold=POPULAR_COUNT, delay="0 seconds", partitions=None, by_panes=False,
+                          fmt="kafka", options=None, encoding="json", index_format="text", index_options=None, by_id=False,
                           checkpoint, trigger=UNTIL_DONE):
     """Raw rides topic to index documents of popular cells, in one query.
 
+    ``partitions`` and ``by_panes`` are those of :func:`run_popular_cells`.
     With ``by_id`` the documents go to a bulk index (:mod:`ridecells.sinks.bulk`),
     where a repeated batch or window replaces what it wrote before.
     """
     rides = read_topic(spark, source, RAW_RIDE, fmt=fmt, options=options, encoding=encoding,
-                       event_time=pickup_time(), delay=delay)
-    counts = popular_counts(celled_rides(rides, event_time="ts"), size, every, threshold)
+                       event_time=pickup_time(), delay=delay, partitions=partitions)
+    counts = popular_counts(celled_rides(rides, event_time="ts"), size, every, threshold, by_panes)
     if by_id:
         return index_by_id(documents_by_id(counts), index_path, checkpoint=checkpoint, trigger=trigger)
     return index_documents(cell_documents(counts), index_path, fmt=index_format,

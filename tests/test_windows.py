@@ -306,3 +306,17 @@ def test_unusable_records_go_to_a_topic_of_their_own(spark):
     assert sorted(r["offset"] for r in found) == list(range(1, len(bad) + 1))
     checked = jobs.checked_rides(spark, "rides", streaming=False, **topics.how)
     assert checked.filter("reason is null").select("pickup_latitude").collect() == [(40.7,), (40.7,)]
+
+
+def test_documents_by_the_slowest_partition(spark):
+    base = shared_folder(spark, "slow-documents")
+    how = {"fmt": "parquet", "options": {"path": base}}
+    for number, last in enumerate(("12:00:00", "10:00:00")):
+        rides = [(f"2014-05-07 {t}", 40.7, -73.9) for t in ("09:00:00", last)]
+        write_topic(spark.createDataFrame(rides, RAW_RIDE), f"rides/partition={number}", **how)
+    for by_panes in (False, True):
+        index = f"{base}/index-{by_panes}"
+        jobs.run_popular_documents(spark, "rides", index, threshold=1, partitions=[0, 1], by_panes=by_panes,
+                                   checkpoint=f"{base}/c-{by_panes}", **how).awaitTermination()
+        found = sorted((r.time, r.cnt) for r in spark.read.schema(DOCUMENT).json(index).collect())
+        assert found == [(f"2014-05-07T09:{m}:59.999Z", 2) for m in ("04", "09", "14")]
