@@ -13,6 +13,13 @@ the links found give components. Then pairs of all members, but only those that
 lie in different components, so large groups of near copies never meet in all
 pairs and yet no link that joins two components is lost.
 
+Copies of one text that are just too far apart to link share almost their whole
+prefixes. Where a shingle's list is long, its groups therefore don't meet over
+what they share, but over what sets them apart: each class is compared with its
+list's leader, and the shingles that only one of the two has are its difference.
+The symmetric difference of two classes is that of their differences, so two
+that link share some of the first elements of theirs, rare before frequent.
+
 The order only decides how many candidates arise: frequent shingles come last,
 by how often, the others by their hash. Frequent are those that several
 documents of one batch share, and those that stand in many prefixes under the
@@ -253,14 +260,17 @@ def _texts(docs, wanted):
     return near.join(wanted, KEYS, "left_semi").dropDuplicates(KEYS)
 
 
-def _linked(docs, pairs, owners, size, percent):
-    """The pairs (a, b) of set keys whose sets are alike; exact, on the texts of one owner each."""
+def _with_texts(docs, pairs, owners):
+    """The pairs (a, b, any other columns) with a_text and b_text, the texts of one owner of each set key."""
     pairs = stored(pairs.distinct(), "pairs")
     involved = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct().join(owners, "set_key")
     involved = stored(involved.select("set_key", "owner.*"), "owners")
     texts = stored(_texts(docs, involved.select(*KEYS)).join(involved, KEYS).select("set_key", "text"), "texts")
-    both = pairs.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
+    return pairs.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
 
+
+def _linked(docs, pairs, owners, size, percent):
+    """The pairs (a, b) of set keys whose sets are alike; exact, on the texts of one owner each."""
     def compare(batches):
         for batch in batches:
             kept = []
@@ -270,7 +280,57 @@ def _linked(docs, pairs, owners, size, percent):
                 kept.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.filter(pa.array(kept, pa.bool_())).select([0, 1])
 
-    return stored(both.select("a", "b", "a_text", "b_text").mapInArrow(compare, "a binary, b binary"), "links")
+    both = _with_texts(docs, pairs, owners).select("a", "b", "a_text", "b_text")
+    return stored(both.mapInArrow(compare, "a binary, b binary"), "links")
+
+
+def _differences(docs, members, owners, size, percent):
+    """Stored (a, b, label, n, near, apart) of classes a with leaders b.
+
+    ``apart`` holds the shingles that only one of the two has; ``near`` tells
+    whether they link, ``n`` is the size of a.
+    """
+    layout = "a binary, b binary, label binary, n bigint, near boolean, apart array<bigint>"
+
+    def compare(batches):
+        for batch in batches:
+            out = []
+            for a, b, label, left, right in _rows(batch):
+                x, y = shingles(left, size), shingles(right, size)
+                apart = np.setxor1d(x, y, assume_unique=True)
+                either = (len(x) + len(y) + len(apart)) // 2
+                out.append((a, b, label, len(x), 100 * (either - len(apart)) >= percent * either, apart.view(np.int64)))
+            yield arrow_batch(out, schema)
+
+    schema = arrow_schema(layout)
+    both = _with_texts(docs, members, owners).select("a", "b", "label", "a_text", "b_text")
+    return stored(both.mapInArrow(compare, layout), "differences")
+
+
+def _alike_by_difference(found, percent):
+    """Pairs (a, b) of classes with one leader and different labels that may link.
+
+    Classes of n and m shingles link if at most (n + m) (100 - percent) / (100 +
+    percent) are in one of them alone. So their differences, of d and e, share
+    half of what d + e is above that; it is one at least unless both link with
+    the leader, and then they need not be compared.
+    """
+    apart, whole = 100 - percent, 100 + percent
+    each = found.select("a", "b", "label", "n", "near", F.size("apart").alias("d"), F.explode("apart").alias("element"))
+    times = each.groupBy("b", "element").agg(F.count("*").alias("times")).where("times > 1")
+    held = each.join(times, ["b", "element"]).groupBy("a", "b", "label", "n", "near", "d").agg(  # a group is one class
+        F.array_sort(F.collect_list(F.struct("times", "element"))).alias("held"))
+    first = held.select("*", F.posexplode("held").alias("at", "next")).select(
+        "b", F.col("next.element").alias("element"), "a", "label", "n", "near", "d", (F.col("d") - F.size("held") + F.col("at")).alias("place"))
+    # Nothing that links is larger than n * 100 / percent, so beyond this place no common element comes first.
+    first = stored(first.where(F.col("place") * percent * whole <= F.col("n") * (percent + 100) * apart), "differing")
+    other = first.toDF("b", "element", *[f"other_{c}" for c in first.columns[2:]])
+    small, large = F.least("n", "other_n"), F.greatest("n", "other_n")
+    least = F.ceil((whole * (F.col("d") + F.col("other_d")) - apart * (F.col("n") + F.col("other_n"))) / F.lit(2.0 * whole))
+    pairs = first.join(other, ["b", "element"]).where(F.col("a") < F.col("other_a")).where(F.col("label") != F.col("other_label"))
+    pairs = pairs.where(~(F.col("near") & F.col("other_near"))).where(100 * small >= percent * large)
+    pairs = pairs.where(F.least(F.col("d") - F.col("place"), F.col("other_d") - F.col("other_place")) >= least)
+    return pairs.select("a", F.col("other_a").alias("b"))
 
 
 def connected(links):
@@ -324,7 +384,8 @@ def near_duplicates(docs, size=5, percent=80):
     central = stored(shared.groupBy("gid").agg((F.sum("members") / F.first("n")).alias("central")), "central")
     leaders = shared.join(central, "gid").groupBy("shingle").agg(F.max(F.struct("central", "gid", "n", "place")).alias("leader"))
     shared = shared.drop("members")
-    led = shared.join(stored(leaders, "leaders"), "shingle")
+    leaders = stored(leaders, "leaders")
+    led = shared.join(leaders, "shingle")
     other = {"gid": F.col("leader.gid"), "n": F.col("leader.n"), "place": F.col("leader.place")}
     pairs = led.where(F.col("gid") != other["gid"]).where(_fits(percent, F.col("n"), other["n"], F.col("place"), other["place"]))
     pairs = _counted(pairs.select("gid", "n", other["gid"].alias("other_gid"), other["n"].alias("other_n")))
@@ -343,17 +404,27 @@ def near_duplicates(docs, size=5, percent=80):
     marked = stored(shared.join(spans, "gid"), "marked")
     opened = stored(marked.groupBy("shingle").agg(F.min("low").alias("least"), F.max("high").alias("most"))
                     .where(F.col("least") != F.col("most")).select("shingle"), "open-lists")
-    marked = stored(marked.join(opened, "shingle"), "open-postings")
-    second = marked.toDF("shingle", "other_gid", "other_n", "other_place", "other_low", "other_high")
+    # Groups of long lists, and those whose members lie apart, get a leader to differ from.
+    hot = opened.join(lists.where(F.col("members") > _PREFIX_SHARE), "shingle").join(leaders, "shingle").select("shingle", "leader")
+    led = marked.join(hot, "shingle").groupBy("gid").agg(F.max(F.struct("leader.central", "leader.gid"))["gid"].alias("lead"))
+    apart = spans.where(F.col("low") != F.col("high")).select("gid")
+    leads = led.join(apart, "gid", "full").select("gid", F.coalesce("lead", "gid").alias("lead"))
+    leads = stored(leads, "group-leads")
+    marked = stored(marked.join(opened, "shingle").join(leads, "gid", "left").select(
+        "shingle", "gid", "n", "place", "low", "high", "lead"), "open-postings")
+    second = marked.toDF("shingle", "other_gid", "other_n", "other_place", "other_low", "other_high", "other_lead")
     pairs = marked.join(second, "shingle").where(F.col("gid") < F.col("other_gid")).where(
+        ~F.coalesce(F.col("lead") == F.col("other_lead"), F.lit(False))).where(
         ~((F.col("low") == F.col("high")) & (F.col("low") == F.col("other_low")) & (F.col("low") == F.col("other_high"))))
     pairs = _counted(pairs.where(_fits(percent, F.col("n"), F.col("other_n"), F.col("place"), F.col("other_place"))))
     a, b = labelled.toDF("gid", "a", "a_label"), labelled.toDF("other_gid", "b", "b_label")
     across = pairs.join(a, "gid").join(b, "other_gid").where(F.col("a_label") != F.col("b_label")).select("a", "b")
-    mixed = labelled.join(spans.where(F.col("low") != F.col("high")).select("gid"), "gid")
-    within = mixed.toDF("gid", "a", "a_label").join(mixed.toDF("gid", "b", "b_label"), "gid").where(
-        F.col("a_label") != F.col("b_label")).select("a", "b")
-    links = links.union(_linked(docs, _ordered(across.union(within)), owners, size, percent))
+    members = labelled.join(leads, "gid").join(firsts.select(F.col("gid").alias("lead"), F.col("first").alias("b")), "lead").select(
+        F.col("set_key").alias("a"), "b", "label").where(F.col("a") != F.col("b"))
+    differences = _differences(docs, members, owners, size, percent)
+    differing = _alike_by_difference(differences, percent)
+    links = links.union(differences.where("near").select("a", "b")).union(
+        _linked(docs, _ordered(across.union(differing)), owners, size, percent))
 
     labels = connected(links).toDF("set_key", "label")
     named = owners.join(labels, "set_key", "left").select("set_key", "first", F.coalesce("label", "set_key").alias("label"))

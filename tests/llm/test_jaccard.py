@@ -4,6 +4,7 @@ from itertools import combinations
 
 import pytest
 
+from ridecells.llm import jaccard
 from ridecells.llm.jaccard import _asked, _least_overlap, _prefix_size, connected, first_of_each, near_duplicates, shingles
 from tests.llm.helpers import ODD_TEXTS, documents
 
@@ -55,6 +56,33 @@ def test_components_against_all_pairs(spark, rows, size, percent):
     assert rows(found, "doc_id", "n_shingles", "component_id") == sorted(expected(texts, ids, size, percent))
 
 
+@pytest.mark.parametrize("size, percent, edits", [(3, 90, (2, 5)), (5, 80, (3, 6))])
+def test_copies_of_one_text_around_the_threshold(spark, rows, monkeypatch, size, percent, edits):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    places = rng.sample(range(150), 24)
+    texts = [" ".join(base)]
+    for _ in range(90):
+        own = list(base)
+        for place in rng.sample(places, rng.randrange(*edits)):
+            own[place] = f"x{place}-{rng.randrange(2)}"
+        texts.append(" ".join(own[:rng.randrange(144, 151)]))
+    want = expected(texts, range(len(texts)), size, percent)
+    assert 10 < len({w[2] for w in want}) < 85
+    met, plain = [], jaccard._linked
+
+    def counting(docs, pairs, *rest):
+        met.append(pairs.distinct().count())
+        return plain(docs, pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_linked", counting)
+    for share in (16, 4):
+        monkeypatch.setattr(jaccard, "_PREFIX_SHARE", share)
+        found = near_duplicates(documents(spark, texts), size, percent)
+        assert rows(found, "doc_id", "n_shingles", "component_id") == sorted(want)
+    assert max(met) < len(texts) * 8
+
+
 def test_prefixes_hold_the_shingles_asked_for():
     rng = random.Random(5)
     for _ in range(300):
