@@ -16,6 +16,19 @@ def stored(frame, name):
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Tasks at most for rows that each stand for much more than their own bytes.
+_MOST_TASKS = 10_000
+
+
+def spread(frame, rows):
+    """The frame, of so many rows, dealt evenly to as many tasks, ``_MOST_TASKS`` at most.
+
+    The number is given, since adaptive execution would merge partitions that
+    are as small as a list of files is, and leave the files to one task.
+    """
+    return frame.repartition(min(max(1, rows), _MOST_TASKS))
+
+
 def row_keys(doc_id="doc_id", text="text"):
     """Two independent hashes that name a row by its id and whole text.
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ridecells.llm.common import arrow_batch, arrow_schema, stored
+from ridecells.llm.common import arrow_batch, arrow_schema, spread, stored
 from ridecells.llm.huffman import code_lengths, codes_of, decode_block, decode_table, encode_block
 from ridecells.llm.tokens import encoder
 from ridecells.session import shared_folder
@@ -179,7 +179,7 @@ def read_files(manifest, folder, with_ids=True):
 
     columns = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids binary" if with_ids else "")
     schema = arrow_schema(columns)
-    return files.repartition(F.col("file")).mapInArrow(read, columns)
+    return spread(files, manifest.count()).mapInArrow(read, columns)
 
 
 def write_documents(docs, tokenizer, end_id=1, folder=None):

@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from ridecells.llm.common import arrow_batch, arrow_schema, stored
+from ridecells.llm.common import arrow_batch, arrow_schema, spread, stored
 from ridecells.session import shared_folder
 
 ARCHIVE_BYTES = 32_000_000
@@ -249,7 +249,7 @@ def record_ranges(manifest, folder, records=RANGE_RECORDS):
                     yield arrow_batch([(name, [data + e["offset"] for e in part], [e["length"] for e in part])], schema)
 
     schema = arrow_schema(layout)
-    return manifest.select("file").mapInArrow(locate, layout)
+    return spread(manifest.select("file"), manifest.count()).mapInArrow(locate, layout)
 
 
 def read_archives(manifest, folder, with_payload=True):
@@ -277,5 +277,5 @@ def read_archives(manifest, folder, with_payload=True):
                 yield arrow_batch(out, schema)
 
     schema = arrow_schema(layout)
-    ranges = record_ranges(manifest, folder)
-    return ranges.repartition(F.col("file"), F.col("offsets")).mapInArrow(fetch, layout)
+    ranges = stored(record_ranges(manifest, folder), "warc-ranges")
+    return spread(ranges, ranges.count()).mapInArrow(fetch, layout)

@@ -4,10 +4,13 @@ from zlib import crc32
 import numpy as np
 import pytest
 from pyarrow import fs
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ridecells.llm import token_files
+from ridecells.llm.common import stored
 from ridecells.llm.huffman import code_lengths, codes_of, decode_block, decode_table, encode_block
+from ridecells.session import shared_folder
 from tests.llm.helpers import ODD_TEXTS, VOCABULARY, documents
 
 
@@ -85,3 +88,11 @@ def test_null_and_repeated_ids(spark, rows):
 def test_no_documents(spark):
     manifest, folder = token_files.write_documents(documents(spark, []), VOCABULARY)
     assert token_files.read_files(manifest, folder).collect() == []
+
+
+def test_many_tasks_read_back(spark):
+    rows = token_files.segments(documents(spark), VOCABULARY, segment_ids=1)
+    folder = shared_folder(spark, "token-files")
+    manifest = token_files.write_files(stored(rows, "segments"), folder)
+    assert manifest.count() == len(ODD_TEXTS)
+    assert token_files.read_files(manifest, folder).select(F.spark_partition_id()).distinct().count() > 5

@@ -5,6 +5,7 @@ import zipfile
 
 import pytest
 from pyarrow import fs
+from pyspark.sql import functions as F
 
 from ridecells.llm import warc
 from ridecells.llm.warc import parse_record, read_archives, warc_record, write_archives, zip_members
@@ -42,6 +43,12 @@ def test_records_come_back(spark, least, size):
     assert all(r.payload is None for r in found if r.record_type == "revisit")
 
 
+def test_many_tasks_read_back(spark):
+    manifest, folder = write_archives(pages(spark, ROWS).repartition(3), archive_bytes=100)
+    assert manifest.count() > 6
+    assert read_archives(manifest, folder).select(F.spark_partition_id()).distinct().count() > 3
+
+
 def test_archives_are_plain_zip_files(spark):
     manifest, folder = write_archives(pages(spark, ROWS).coalesce(1))
     store, top = fs.FileSystem.from_uri(folder)
