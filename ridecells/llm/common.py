@@ -57,3 +57,34 @@ def arrow_batch(rows, schema):
     """Tuples as a record batch."""
     columns = zip(*rows) if rows else [[]] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def let(value, use):
+    """``use`` of a value, which is worked out once however often the result names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+_BLOCK = 128
+
+
+def running(numbers, combine, levels=2):
+    """For each number of an array, ``combine`` over all before it, from 0.
+
+    An array that grows by one is copied each time, so it is done in blocks, and
+    blocks of blocks. ``combine`` must be associative, with 0 changing nothing.
+    """
+    def plain(array):
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(array, first, lambda s, x: F.struct(
+            combine(s["at"], x).alias("at"), F.array_append(s["out"], s["at"]).alias("out")), lambda s: s["out"])
+
+    def placed(blocks):
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda s, x: combine(s, x)))
+        return F.flatten(F.zip_with(blocks, running(totals, combine, levels - 1), lambda b, before: F.transform(
+            plain(b), lambda x: combine(before, x))))
+
+    def cut(array):
+        starts = F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), F.lit(_BLOCK))
+        return let(F.transform(starts, lambda at: F.slice(array, at + 1, _BLOCK)), placed)
+
+    return let(numbers, cut) if levels else plain(numbers)

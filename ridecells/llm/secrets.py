@@ -13,13 +13,14 @@ results. Spans count code points, end exclusive. Documents are known by two
 hashes of id and text, so copies under different ids spread over the cluster.
 """
 
+import operator
 from dataclasses import dataclass
 from re import _constants as kinds
 from re import _parser as parser
 
 from pyspark.sql import functions as F
 
-from ridecells.llm.common import KEYS, row_keys, stored
+from ridecells.llm.common import KEYS, let, row_keys, running, stored
 
 
 @dataclass(frozen=True)
@@ -181,17 +182,18 @@ def _spans(text, rule, rank):
     between = F.split(text, rule.regex, -1)
     whole = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
     group = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group))
-    pieces = F.slice(F.arrays_zip(between.alias("gap"), whole.alias("match"), group.alias("kept")), 1, F.size(whole))
 
-    def add(state, piece):
-        start = state["at"] + F.char_length(piece["gap"])
-        end = start + F.char_length(piece["match"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(F.char_length(piece["kept"]) >= rule.least, F.array_append(state["spans"], span))
-                        .otherwise(state["spans"]).alias("spans"))
+    def placed(pieces):
+        def span(piece, at):
+            start = at + F.char_length(piece["gap"])
+            end = start + F.char_length(piece["match"])
+            return F.when(F.char_length(piece["kept"]) >= rule.least, F.struct(
+                start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end")))
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
-    return F.aggregate(pieces, none, add, lambda state: state["spans"])
+        sizes = F.transform(pieces, lambda p: F.char_length(p["gap"]) + F.char_length(p["match"]))
+        return F.array_compact(F.zip_with(pieces, running(sizes, operator.add), span))
+
+    return let(F.slice(F.arrays_zip(between.alias("gap"), whole.alias("match"), group.alias("kept")), 1, F.size(whole)), placed)
 
 
 def find_secrets(docs, rules=RULES, name="secrets"):
@@ -216,16 +218,28 @@ def span_text(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+_CHUNK = 256
+
+
+def _cut(chunks, start, end):
+    """Code points start to end of a text in chunks, read from the chunks that hold them."""
+    first = (start / _CHUNK).cast("int")
+    held = F.slice(chunks, first + 1, F.ceil(end / _CHUNK).cast("int") - first)
+    return F.array_join(held, "").substr(start - first * _CHUNK + 1, end - start)
+
+
 def masked_text(text, spans, mask="[secret]"):
     """The text with every stretch that spans cover replaced by one mask."""
-    def add(state, span):
-        new = span["start"] >= state["at"]
-        kept = F.concat(state["out"], F.substring(text, state["at"] + 1, span["start"] - state["at"]), F.lit(mask))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.when(new, kept).otherwise(state["out"]).alias("out"))
-
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(spans, first, add, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
-    return F.when(F.size(spans) > 0, masked).otherwise(text)
+    def masked(chunks):
+        def kept(span, covered):
+            return F.when(span["start"] >= covered, F.concat(_cut(chunks, covered, span["start"]), F.lit(mask))).otherwise("")
+
+        before = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+        last = _cut(chunks, F.array_max(F.transform(spans, lambda s: s["end"])), F.char_length(text))
+        return F.concat(F.array_join(F.zip_with(spans, before, kept), ""), last)
+
+    whole = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, let(whole, masked)).otherwise(text)
 
 
 def without_secrets(docs, rules=RULES, mask="[secret]"):

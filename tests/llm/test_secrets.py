@@ -1,7 +1,12 @@
+import operator
+import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
+from ridecells.llm.common import running
 from ridecells.llm.secrets import BASE, RULES, Rule, find_secrets, masked_text, span_text, trigram_query
 from tests.llm.helpers import ODD_TEXTS, documents
 
@@ -71,3 +76,37 @@ def test_repeated_rows_null_ids_and_no_documents(spark):
     rows = find_secrets(documents(spark, [TEXTS[0], TEXTS[0], TEXTS[0]], [1, 1, None])).collect()
     assert len(rows) == 3 and all(len(r.secrets) == 2 for r in rows)
     assert find_secrets(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 128 * 128 + 5])
+def test_running_results(spark, n):
+    numbers = [random.Random(n).randrange(50) for _ in range(n)]
+    [row] = spark.createDataFrame([(numbers,)], "a array<int>").select(running(F.col("a"), operator.add), running(F.col("a"), F.greatest)).collect()
+    assert row[0] == [sum(numbers[:i]) for i in range(n)] and row[1] == [max([0, *numbers[:i]]) for i in range(n)]
+
+
+def test_many_secrets_in_one_text(spark):
+    """The time must not grow with the square of the secrets in a text."""
+    def seconds(n):
+        text = "\U0001f600é " + " ".join(f"token={i:08d}" for i in range(n)) + " tail " + HEX
+        docs = documents(spark, [text])
+        began = time.monotonic()
+        [row] = find_secrets(docs).select("secrets", masked_text(F.col("text"), F.col("secrets")).alias("m")).collect()
+        took = time.monotonic() - began
+        assert [tuple(s) for s in row.secrets] == expected(text, RULES)
+        assert row.m == "\U0001f600é " + " ".join(["[secret]"] * n) + " tail [secret]"
+        return took
+
+    seconds(1_000)
+    seconds(20_000)
+    assert seconds(60_000) < 30
+
+
+def test_masks_over_chunks(spark):
+    text = "x" * 250 + f"token={HEX}" + "\U0001f600" * 700 + KEY + " é" * 128 + HEX
+    found = find_secrets(documents(spark, [text]))
+    [row] = found.select("secrets", masked_text(found.text, found.secrets).alias("m")).collect()
+    at, out = 0, ""
+    for start, _, _, end in expected(text, RULES):
+        out, at = (out + text[at:start] + "[secret]" if start >= at else out), max(at, end)
+    assert row.m == out + text[at:]
