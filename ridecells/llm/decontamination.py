@@ -85,6 +85,7 @@ def _anchor_postings(index, windows):
 
 
 def _indexed(docs, phrases, window, anchors):
+    """(items, windows, index), all stored."""
     items = phrase_items(phrases)
     terms = items.select(F.explode("item_words").alias("term")).distinct()
     windows = anchored_windows(items, term_counts(docs, stored(terms, "terms")), window, anchors)
@@ -92,15 +93,23 @@ def _indexed(docs, phrases, window, anchors):
     return items, windows, positional_index(docs, stored(rare, "anchor-terms"))
 
 
-def _with_matches(docs, phrases, window, anchors):
-    """All columns of the documents, their words and their exact matches, under names of this module."""
+def _with_matches(docs, phrases, window, anchors, slop=None):
+    """All columns of the documents, their words and their exact matches, under names of this module.
+
+    With a slop also ``_phrase_near``, the ids of the items near which the document comes.
+    """
     items, windows, index = _indexed(docs, phrases, window, anchors)
     together = _anchor_postings(index, windows).groupBy(*KEYS, "item", "shift").agg(F.collect_set("place").alias("places"))
     agreed = F.exists("windows", lambda w: F.forall(w["anchors"], lambda a: F.array_contains(F.col("places"), a["place"])))
-    places = together.join(windows, "item").where(agreed).select(*KEYS, "item", "shift")
+    shifts = together.join(windows, "item").where(agreed).groupBy(*KEYS, "item").agg(F.collect_list("shift").alias("shifts"))
     own = {"key_a": "_phrase_key_a", "key_b": "_phrase_key_b"}
-    found = places.join(items, "item").groupBy(*KEYS).agg(  # a group is one document
-        F.collect_list(F.struct("item_id", "item", "shift", "item_words")).alias("_phrase_found")).withColumnsRenamed(own)
+    found = shifts.join(items, "item").groupBy(*KEYS).agg(  # a group is one document, with each item's words once
+        F.collect_list(F.struct("item_id", "item", "shifts", "item_words")).alias("_phrase_found"))
+    if slop is not None:
+        near = _near(index, windows, slop).select(*KEYS, "item").distinct().join(items, "item")
+        near = near.groupBy(*KEYS).agg(F.collect_set(F.col("item_id").cast("string")).alias("_phrase_near"))
+        found = found.join(near, KEYS, "full")
+    found = found.withColumnsRenamed(own)
 
     texts = docs.select("*", *[k.alias(n) for k, n in zip(row_keys(), own.values())])
     # Exploding the one list of words keeps later filters from moving below this point, where each
@@ -108,16 +117,22 @@ def _with_matches(docs, phrases, window, anchors):
     read = texts.join(found, list(own.values()), "left").select("*", F.explode(F.array(words(F.col("text")))).alias("_phrase_words"))
 
     def matched(f):
-        same = F.transform(f["item_words"], lambda w, i: F.when(F.get("_phrase_words", f["shift"] + i) == w, "1").otherwise("0"))
         size = F.least(F.size(f["item_words"]), F.lit(window))
         starts = F.sequence(F.lit(0), F.size(f["item_words"]) - size)
-        flags = F.array_join(same, "")
-        hit = F.filter(starts, lambda s: flags.substr(s + 1, size) == F.repeat(F.lit("1"), size))
-        return F.transform(hit, lambda s: F.struct(
-            f["item_id"].alias("item_id"), f["item"].alias("item"), s.alias("window"), (s + f["shift"]).alias("position"), size.alias("size")))
+
+        def at(shift):
+            same = F.transform(f["item_words"], lambda w, i: F.when(F.get("_phrase_words", shift + i) == w, "1").otherwise("0"))
+            flags = F.array_join(same, "")
+            hit = F.filter(starts, lambda s: flags.substr(s + 1, size) == F.repeat(F.lit("1"), size))
+            return F.transform(hit, lambda s: F.struct(
+                f["item_id"].alias("item_id"), f["item"].alias("item"), s.alias("window"), (s + shift).alias("position"), size.alias("size")))
+
+        return F.flatten(F.transform(f["shifts"], at))
 
     matches = F.when(F.col("_phrase_found").isNotNull() & (F.size("_phrase_words") > 0), F.flatten(F.transform("_phrase_found", matched)))
-    return read.select(*[F.col(f"`{c}`") for c in docs.columns], F.size("_phrase_words").cast("long").alias("_phrase_n_words"), matches.alias("_phrase_matches"))
+    near = [] if slop is None else [F.array_sort(F.coalesce("_phrase_near", F.array().cast("array<string>"))).alias("_phrase_near")]
+    return read.select(*[F.col(f"`{c}`") for c in docs.columns], F.size("_phrase_words").cast("long").alias("_phrase_n_words"),
+                       matches.alias("_phrase_matches"), *near)
 
 
 def document_matches(docs, phrases, window=WINDOW_WORDS, anchors=ANCHORS):
@@ -136,13 +151,8 @@ def phrase_matches(docs, phrases, window=WINDOW_WORDS, anchors=ANCHORS):
         "doc_id", "m.item_id", "m.window", "m.position", "m.size")
 
 
-def proximity_matches(docs, phrases, slop, window=WINDOW_WORDS, anchors=ANCHORS):
-    """Windows whose rarest words all occur in a document, nearly as they stand in the item.
-
-    The words' shifts differ by ``slop`` at most. Returns doc_id, item_id, window
-    and position, the smallest shift plus window. Every exact match is among them.
-    """
-    items, windows, index = _indexed(docs, phrases, window, anchors)
+def _near(index, windows, slop):
+    """(key_a, key_b, item, window, position): places where all anchors of a window stand nearly as in the item."""
     width = slop + 1
     # Stretches of twice the width, each beginning a width after the last: near shifts share one.
     stretch = F.explode(F.array(F.floor(F.col("shift") / width), F.floor(F.col("shift") / width) - 1)).alias("stretch")
@@ -158,26 +168,39 @@ def proximity_matches(docs, phrases, slop, window=WINDOW_WORDS, anchors=ANCHORS)
         w["start"].alias("window"), F.filter(F.col("lows"), lambda low: fits(w, low)).alias("fit")))
     found = near.select(*KEYS, "item", "seen", lows.alias("lows")).join(windows, "item")
     found = found.select(*KEYS, "item", F.explode(fitting).alias("f")).select(*KEYS, "item", "f.window", F.explode("f.fit").alias("low"))
-    found = found.select(*KEYS, "item", "window", (F.col("low") + F.col("window")).alias("position")).distinct()
+    return found.select(*KEYS, "item", "window", (F.col("low") + F.col("window")).alias("position")).distinct()
+
+
+def proximity_matches(docs, phrases, slop, window=WINDOW_WORDS, anchors=ANCHORS):
+    """Windows whose rarest words all occur in a document, nearly as they stand in the item.
+
+    The words' shifts differ by ``slop`` at most. Returns doc_id, item_id, window
+    and position, the smallest shift plus window. Every exact match is among them.
+    """
+    items, windows, index = _indexed(docs, phrases, window, anchors)
+    found = _near(index, windows, slop)
     return docs.select("doc_id", *row_keys()).join(found, KEYS).join(items, "item").select("doc_id", "item_id", "window", "position")
 
 
-def contamination(docs, phrases):
+def contamination(docs, phrases, slop=None):
     """Every document with n_words, n_hit, n_items, item_ids and whether it is contaminated.
 
     A word is hit if it lies in a match; a document is contaminated if at least
     a twentieth of its words, and one at least, are hit. Items with a null id
-    count for the words, and are neither counted nor named.
+    count for the words, and are neither counted nor named. With a ``slop`` also
+    n_near and near_ids, the items with proximity matches of that slop; they
+    include item_ids and don't make a document contaminated.
     """
-    found = document_matches(docs, phrases)
-    none = F.array()
-    ids = F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item_id"].cast("string")), F.isnotnull)))
+    found = _with_matches(docs.select("doc_id", "text"), phrases, WINDOW_WORDS, ANCHORS, slop)
+    matches, n_words = F.col("_phrase_matches"), F.col("_phrase_n_words")
+    ids = F.array_sort(F.array_distinct(F.filter(F.transform(matches, lambda m: m["item_id"].cast("string")), F.isnotnull)))
+    near = [] if slop is None else [F.size("_phrase_near").cast("long").alias("n_near"), F.col("_phrase_near").alias("near_ids")]
     counted = found.select(
-        "doc_id", "n_words", _hit_words("matches").alias("n_hit"),
-        F.coalesce(ids, none.cast("array<string>")).alias("item_ids"))
+        "doc_id", n_words.alias("n_words"), _hit_words(matches).alias("n_hit"),
+        F.coalesce(ids, F.array().cast("array<string>")).alias("item_ids"), *near)
     return counted.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids",
-        _contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+        _contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"), *([] if slop is None else ["n_near", "near_ids"]))
 
 
 def _hit_words(matches):

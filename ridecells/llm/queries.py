@@ -8,6 +8,7 @@ from ridecells.llm import decontamination, fingerprints, jaccard, main_text, pac
 from ridecells.llm.common import stored
 
 VOCABULARY = "word_bpe_49k.json"
+NEAR_WORDS = 2
 
 
 def _table(spark, folder, name):
@@ -58,9 +59,10 @@ def quality_classifier(spark, folder):
 
 
 def benchmark_decontamination(spark, folder):
-    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items",
-                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+    """Exact phrases, and beside them the items whose rarest words stand in a document up to ``NEAR_WORDS`` words off."""
+    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), NEAR_WORDS)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        "contaminated", "n_near", F.sha2(F.array_join("near_ids", ","), 256).alias("near_sha256"))
 
 
 def edited_token_counts(spark, folder):
@@ -100,7 +102,7 @@ QUERIES = {
     "op6_kd_tree_shards": (kd_tree_shards, None),
     "op7_quality_trees": (quality_classifier, None),
     "op8_token_id_files": (token_id_files, None),
-    "op9_benchmark_decontamination": (benchmark_decontamination, sql.DECONTAMINATION),
+    "op9_benchmark_decontamination": (benchmark_decontamination, sql.decontamination(decontamination.ANCHORS, NEAR_WORDS)),
     "op10_edited_token_counts": (edited_token_counts, None),
     "op11_main_text": (extracted_main_text, None),
     "op12_periodic_runs": (periodic_runs, None),

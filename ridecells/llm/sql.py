@@ -30,13 +30,13 @@ def secret_scan(rules, n_base):
     FROM d LEFT JOIN found USING (row_id)"""
 
 
-DECONTAMINATION = r"""
+_DECONTAMINATION = r"""
 WITH d AS (SELECT row_number() OVER () AS row_id, doc_id,
         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
     FROM documents),
 b AS (SELECT item_id,
         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
-    FROM benchmark),
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)),
 windows AS (SELECT DISTINCT item_id, least(13, len(w)) AS m, w[s:s + least(13, len(w)) - 1] AS words
     FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT m FROM windows),
@@ -45,11 +45,34 @@ grams AS (SELECT row_id, m, p, w[p:p + m - 1] AS words
 hits AS (SELECT row_id, item_id, p, m FROM grams JOIN windows USING (m, words)),
 n_hit AS (SELECT row_id, count(DISTINCT q) AS n_hit FROM (SELECT row_id, unnest(range(p, p + m)) AS q FROM hits) GROUP BY row_id),
 items AS (SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-    FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY row_id)
+    FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY row_id),
+items_in AS (SELECT row_number() OVER () AS item, item_id, w FROM b WHERE len(w) > 0),
+asked AS (SELECT DISTINCT unnest(w) AS term FROM items_in),
+postings AS (SELECT row_id, p, w[p] AS term FROM (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) WHERE w[p] IN (SELECT term FROM asked)),
+counts AS (SELECT term, count(*) AS n FROM postings GROUP BY term),
+places AS (SELECT item, s, p, w[p] AS term, least(13, len(w)) AS m
+    FROM (SELECT item, w, s, unnest(range(s, s + least(13, len(w)))) AS p
+        FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM items_in))),
+anchors AS (SELECT item, s, p, term, least(:anchors, m) AS n_anchors FROM (
+    SELECT item, s, p, term, m, row_number() OVER (PARTITION BY item, s ORDER BY n, p) AS rank, count(*) OVER (PARTITION BY item, s) AS known
+    FROM places JOIN counts USING (term)) WHERE known = m AND rank <= :anchors),
+shifts AS (SELECT row_id, item, s, n_anchors, anchors.p AS place, postings.p - anchors.p AS shift FROM postings JOIN anchors USING (term)),
+near AS (SELECT DISTINCT row_id, item FROM (
+    SELECT x.row_id, x.item, x.s, x.shift, x.n_anchors, count(DISTINCT y.place) AS seen
+    FROM shifts x JOIN shifts y ON x.row_id = y.row_id AND x.item = y.item AND x.s = y.s AND y.shift BETWEEN x.shift AND x.shift + :slop
+    GROUP BY ALL) WHERE seen = n_anchors),
+near_items AS (SELECT row_id, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near_ids
+    FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item FROM near JOIN items_in USING (item) WHERE item_id IS NOT NULL) GROUP BY row_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN n_hit USING (row_id) LEFT JOIN items USING (row_id)"""
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(n_near, 0) AS n_near, sha256(coalesce(near_ids, '')) AS near_sha256
+FROM d LEFT JOIN n_hit USING (row_id) LEFT JOIN items USING (row_id) LEFT JOIN near_items USING (row_id)"""
+
+
+def decontamination(anchors, slop):
+    """Exact windows, and items whose anchors' shifts in a document differ by the slop at most."""
+    return _DECONTAMINATION.replace(":anchors", str(anchors)).replace(":slop", str(slop))
 
 
 JACCARD = r"""

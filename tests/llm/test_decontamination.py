@@ -1,4 +1,8 @@
+import itertools
 import re
+from collections import Counter
+
+import pytest
 
 from ridecells.llm.decontamination import contamination, phrase_matches, proximity_matches
 from tests.llm.helpers import ODD_TEXTS, documents
@@ -58,6 +62,44 @@ def test_near_matches(spark):
     assert not [f for f in found if f[0] == 12 and f[1] == 1]
 
 
+def plain_near(texts, slop):
+    """Item ids near each document, by trying every place of every anchor."""
+    documents_words = [words(t) for t in texts]
+    counts = Counter(w for d in documents_words for w in d)
+    out = []
+    for w in documents_words:
+        ids = set()
+        for item_id, item in ITEMS:
+            i = words(item)
+            m = min(13, len(i))
+            for s in range(len(i) - m + 1) if m else ():
+                if any(not counts[x] for x in i[s:s + m]):
+                    continue
+                anchors = sorted(range(s, s + m), key=lambda p: (counts[i[p]], p))[:2]
+                shifts = [[p - a for p, x in enumerate(w) if x == i[a]] for a in anchors]
+                if any(max(c) - min(c) <= slop for c in itertools.product(*shifts)):
+                    ids.add(item_id)
+        out.append(sorted(str(i) for i in ids if i is not None))
+    return out
+
+
+@pytest.mark.parametrize("slop", [0, 2, 7])
+def test_contamination_with_near_items(spark, slop):
+    texts = [*TEXTS, *ODD_TEXTS]
+    found = contamination(documents(spark, texts), phrases(spark), slop).sort("doc_id").collect()
+    near = plain_near(texts, slop)
+    assert [r.near_ids for r in found] == near and [r.n_near for r in found] == [len(n) for n in near]
+    assert all(set(r.item_ids) <= set(r.near_ids) for r in found)
+    assert [tuple(r)[:6] for r in found] == [e[:6] for e in expected(texts)]
+
+
+def test_repetitive_text_against_a_repetitive_item(spark):
+    """Each word stands at many places of item and text: many shifts, one list of words for the item."""
+    text = "the of and " * 400
+    [row] = contamination(documents(spark, [text]), phrases(spark), 2).collect()
+    assert (row.n_words, row.n_hit, row.item_ids, row.near_ids) == (1200, 1200, ["5"], ["5"])
+
+
 def test_repeated_rows_and_null_ids(spark, rows):
     found = contamination(documents(spark, [SHORT, SHORT, SHORT], [1, 1, None]), phrases(spark)).collect()
     assert [(r.n_hit, r.item_ids, r.contaminated) for r in found] == [(3, ["2"], True)] * 3
