@@ -73,8 +73,22 @@ def anchored_windows(items, counts, window=WINDOW_WORDS, anchors=ANCHORS):
 
 
 def positional_index(docs, terms):
-    """Stored postings of the terms: (term, key_a, key_b, position)."""
-    return stored(_document_words(docs).join(terms, "term").select("term", *KEYS, "position"), "postings")
+    """Stored postings of the terms, (term, key_a, key_b, position, n_words), and one of each text's last word.
+
+    The latter tell how many words the texts have, so no other pass must split
+    them all: ``n_words`` is set there, and its term is null unless asked for.
+    """
+    held = docs.select(*row_keys(), words(F.col("text")).alias("words"))
+    each = held.select(*KEYS, F.size("words").alias("n_words"), F.posexplode("words").alias("position", "term"))
+    last = F.col("position") + 1 == F.col("n_words")
+    marked = each.join(terms.withColumn("asked", F.lit(True)), "term", "left").where(F.col("asked") | last)
+    return stored(marked.select(F.when(F.col("asked"), F.col("term")).alias("term"), *KEYS, "position",
+                                F.when(last, F.col("n_words")).alias("n_words")), "postings")
+
+
+def _word_counts(index):
+    """(key_a, key_b, n_words) of the texts with words."""
+    return index.where(F.isnotnull("n_words")).groupBy(*KEYS).agg(F.max("n_words").alias("_phrase_counted"))
 
 
 def _anchor_postings(index, windows):
@@ -109,12 +123,13 @@ def _with_matches(docs, phrases, window, anchors, slop=None):
         near = _near(index, windows, slop).select(*KEYS, "item").distinct().join(items, "item")
         near = near.groupBy(*KEYS).agg(F.collect_set(F.col("item_id").cast("string")).alias("_phrase_near"))
         found = found.join(near, KEYS, "full")
-    found = found.withColumnsRenamed(own)
+    found = _word_counts(index).join(found, KEYS, "left").withColumnsRenamed(own)
 
     texts = docs.select("*", *[k.alias(n) for k, n in zip(row_keys(), own.values())])
-    # Exploding the one list of words keeps later filters from moving below this point, where each
-    # comparison would split the text again.
-    read = texts.join(found, list(own.values()), "left").select("*", F.explode(F.array(words(F.col("text")))).alias("_phrase_words"))
+    # Only candidates are split. Exploding the one list of words keeps later filters from moving below
+    # this point, where each comparison would split the text again.
+    split = F.when(F.isnotnull("_phrase_found"), words(F.col("text")))
+    read = texts.join(found, list(own.values()), "left").select("*", F.explode(F.array(split)).alias("_phrase_words"))
 
     def matched(f):
         size = F.least(F.size(f["item_words"]), F.lit(window))
@@ -129,9 +144,9 @@ def _with_matches(docs, phrases, window, anchors, slop=None):
 
         return F.flatten(F.transform(f["shifts"], at))
 
-    matches = F.when(F.col("_phrase_found").isNotNull() & (F.size("_phrase_words") > 0), F.flatten(F.transform("_phrase_found", matched)))
+    matches = F.when(F.isnotnull("_phrase_words"), F.flatten(F.transform("_phrase_found", matched)))
     near = [] if slop is None else [F.array_sort(F.coalesce("_phrase_near", F.array().cast("array<string>"))).alias("_phrase_near")]
-    return read.select(*[F.col(f"`{c}`") for c in docs.columns], F.size("_phrase_words").cast("long").alias("_phrase_n_words"),
+    return read.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("_phrase_counted", F.lit(0)).cast("long").alias("_phrase_n_words"),
                        matches.alias("_phrase_matches"), *near)
 
 
