@@ -46,7 +46,13 @@ def phrase_items(phrases):
 
 
 def _document_words(docs):
-    return docs.select(*row_keys(), F.posexplode(words(F.col("text"))).alias("position", "term"))
+    """(key_a, key_b, n_words, position, term), one row per word.
+
+    Exploding the one list of words keeps it from being made again for its size
+    and for the filter on empty lists that Spark adds before their words.
+    """
+    held = docs.select(*row_keys(), F.explode(F.array(words(F.col("text")))).alias("words"))
+    return held.select(*KEYS, F.size("words").alias("n_words"), F.posexplode("words").alias("position", "term"))
 
 
 def term_counts(docs, terms):
@@ -78,10 +84,8 @@ def positional_index(docs, terms):
     The latter tell how many words the texts have, so no other pass must split
     them all: ``n_words`` is set there, and its term is null unless asked for.
     """
-    held = docs.select(*row_keys(), words(F.col("text")).alias("words"))
-    each = held.select(*KEYS, F.size("words").alias("n_words"), F.posexplode("words").alias("position", "term"))
     last = F.col("position") + 1 == F.col("n_words")
-    marked = each.join(terms.withColumn("asked", F.lit(True)), "term", "left").where(F.col("asked") | last)
+    marked = _document_words(docs).join(terms.withColumn("asked", F.lit(True)), "term", "left").where(F.col("asked") | last)
     return stored(marked.select(F.when(F.col("asked"), F.col("term")).alias("term"), *KEYS, "position",
                                 F.when(last, F.col("n_words")).alias("n_words")), "postings")
 
