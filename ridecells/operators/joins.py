@@ -1,6 +1,8 @@
 """Joins of rides with weather and zip codes, and weather with all cells."""
 
-from math import asin, cos, degrees, pi, radians, sin
+from copy import copy
+from functools import reduce
+from math import asin, cos, degrees, hypot, pi, radians, sin
 
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ from ridecells.session import stored
 # Rows of at most three small columns; about 50 MB as a hash table.
 BROADCAST_ROWS = 500_000
 
+# A square of a large zip table is cut no further with as few centroids or points.
+FEW_RIVALS = 32
+FEW_POINTS = 8
+MOST_CUTS = 24
+
 # Mean radius of the earth and miles per kilometre.
 EARTH_MILES = 6371.0 * 0.621371
 
@@ -130,7 +137,14 @@ class _Squares:
         self.height = reach / parts * 1.000001
         self.columns = max(1, int(360.0 // (degrees(2 * asin(ratio)) / parts * 1.000001)))
         self.width = 360.0 / self.columns
-        self.half = radians(self.height + self.width) / 2
+        self.half = radians(hypot(self.height, self.width)) / 2
+
+    def finer(self, cuts):
+        """The same squares, each cut that many times into four."""
+        fine = copy(self)
+        fine.height, fine.width = self.height / 2 ** cuts, self.width / 2 ** cuts
+        fine.columns, fine.half = self.columns * 2 ** cuts, self.half / 2 ** cuts
+        return fine
 
     def row(self, lat):
         return F.floor(lat / self.height)
@@ -210,6 +224,83 @@ def _nearest_in_array(matched, unrolled=8):
         .otherwise(F.col("_later")))
 
 
+def _in_reach(placed, squares, reach):
+    """Centroids per square that some point of it may have in reach, with their way to its centre."""
+    center = _unit_vector(*squares.center(F.col("_row"), F.col("_column")))
+    off = F.sqrt(_squared_chord(center, (F.col("x"), F.col("y"), F.col("z"))))
+    return placed.withColumn("_off", off).filter(F.col("_off") <= reach + _spread(squares))
+
+
+def _spread(squares):
+    return squares.half * 1.000001 + 1e-12
+
+
+def _quartered(placed):
+    """Each square's centroids in each of its four parts."""
+    two = F.array(F.lit(0), F.lit(1))
+    return (
+        placed.withColumn("_down", F.explode(two)).withColumn("_right", F.explode(two))
+        .select("zip", "x", "y", "z", (F.col("_row") * 2 + F.col("_down")).alias("_row"),
+                (F.col("_column") * 2 + F.col("_right")).alias("_column"))
+    )
+
+
+def _nearest_by_cutting(points, zips, squares, reach, lat, lon):
+    """The different places of the points that have a centroid in reach, with its zip.
+
+    Squares that hold many places and many rivals are cut into four, and again,
+    and each part keeps those of its whole's rivals that may be nearest in it.
+    So a centroid stands in a few squares of each size, and a place meets few
+    rivals, however dense either lie. No square's rivals are gathered in one
+    row unless they are few.
+    """
+    square, place = ["_row", "_column"], [lat, lon]
+    x, y, z = _unit_vector(F.col(lat), F.col(lon))
+    left = stored(points.select(lat, lon).dropna().distinct().select(
+        lat, lon, x.alias("_x"), y.alias("_y"), z.alias("_z")), "places")
+    # Of centroids at one place the smallest zip is the nearest.
+    one_each = zips.groupBy("lat", "lon").agg(F.min(F.struct("zip"))["zip"].alias("zip"))
+    placed, found = _placed(one_each, squares), []
+    spot = (F.col("_x"), F.col("_y"), F.col("_z"))
+    chord = _squared_chord(spot, (F.col("x"), F.col("y"), F.col("z")))
+    for cuts in range(MOST_CUTS + 1):
+        fine = squares.finer(cuts)
+        where = {"_row": fine.row(F.col(lat)), "_column": fine.column(F.col(lon))}
+        left = left.withColumns(where)
+        held = left.groupBy(*square).agg(F.count("*").alias("_points"))
+        near = stored(_in_reach(placed.join(held, square), fine, reach), "near")
+        least = near.groupBy(*square).agg(F.min("_off").alias("_least"))
+        rivals = near.join(least, square).filter(
+            F.col("_off") <= F.col("_least") + 2 * _spread(fine)).drop("_off", "_least")
+        rivals = stored(rivals, "rivals")
+        sizes = stored(rivals.groupBy(*square).agg(
+            F.first("_points").alias("_points"), F.count("*").alias("_rivals")), "sizes")
+        rivals = rivals.drop("_points")
+        few = F.col("_rivals") <= FEW_RIVALS
+        many = ~few & (F.col("_points") > FEW_POINTS) & F.lit(cuts < MOST_CUTS)
+        facts = sizes.agg(F.count_if(few).alias("few"), F.count_if(many).alias("many"),
+                          F.count_if(~few & ~many).alias("rest")).first()
+
+        if facts["few"] or not found:
+            near = rivals.join(sizes.filter(few), square, "left_semi").groupBy(*square).agg(
+                F.sort_array(F.collect_list(F.struct("zip", "x", "y", "z"))).alias("_near"))
+            best = _nearest_in_array(left.join(near, square)).select(
+                *place, F.explode(F.array("_best")).alias("_b"))
+            found.append(stored(best.filter(F.col("_b._d") <= reach ** 2).select(
+                *place, "_b.zip"), "nearest"))
+        if facts["rest"]:
+            met = rivals.join(sizes.filter(~few & ~many), square, "left_semi")
+            met = left.join(met, square).withColumn("_d", chord)
+            found.append(stored(met.filter(F.col("_d") <= reach ** 2).groupBy(*place).agg(
+                F.min(F.struct("_d", "zip"))["zip"].alias("zip")), "nearest"))
+        if not facts["many"]:
+            break
+        opened = sizes.filter(many)
+        left = stored(left.join(opened, square, "left_semi").drop(*square), "places")
+        placed = _quartered(rivals.join(opened, square, "left_semi"))
+    return reduce(lambda a, b: a.union(b), found)
+
+
 def nearest_zip(points, zips, radius_miles=1.0, lat="lat", lon="lon", most=BROADCAST_ROWS):
     """Points with the column ``zip``: the nearest centroid within the radius.
 
@@ -219,7 +310,7 @@ def nearest_zip(points, zips, radius_miles=1.0, lat="lat", lon="lon", most=BROAD
     be nearest in it as an array. If a count shows that the zip table is
     small, the squares are broadcast and every point finds its zip in place:
     no shuffle and no row key. Beyond that the different coordinates are
-    matched by an ordinary join and reduced by partial aggregation.
+    matched by ordinary joins over squares that are cut where they are full.
     """
     facts = zips.agg(F.count("*").alias("n"), F.max(F.abs("lat")).alias("lat")).first()
     fits = [p for p in (8, 4, 2, 1) if facts["n"] * (2 * p + 1) ** 2 <= most]
@@ -242,12 +333,6 @@ def nearest_zip(points, zips, radius_miles=1.0, lat="lat", lon="lon", most=BROAD
         zip_code = F.when(F.col("_b._d") <= reach ** 2, F.col("_b.zip"))
         return found.select(*columns, F.coalesce(zip_code, F.lit(MISSING_ZIP)).alias("zip"))
 
-    chord = _squared_chord(here, (F.col("x"), F.col("y"), F.col("z")))
-    best = (
-        points.select(lat, lon).distinct().withColumns(where)
-        .join(placed, ["_row", "_column"]).withColumn("_d", chord)
-        .filter(F.col("_d") <= reach ** 2).groupBy(lat, lon)
-        .agg(F.min(F.struct("_d", "zip"))["zip"].alias("zip"))
-    )
+    best = _nearest_by_cutting(points, zips, squares, reach, lat, lon)
     return points.select(*columns).join(best, [lat, lon], "left").select(
         *columns, F.coalesce("zip", F.lit(MISSING_ZIP)).alias("zip"))

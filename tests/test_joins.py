@@ -105,6 +105,31 @@ def test_nearest_zip_is_that_of_brute_force(spark, rows, center, spread, radius,
     assert dict(got)[1000] == "09999"
 
 
+def test_dense_centroids_meet_few_points(spark, rows, monkeypatch):
+    rng = random.Random(11)
+    zips = [(f"{10000 + i}", 40.75 + rng.uniform(0, 0.02), -73.9 + rng.uniform(0, 0.02)) for i in range(1500)]
+    zips += [(f"0{z[0]}", *z[1:]) for z in zips[:300]]
+    points = [(i, 40.75 + rng.uniform(0, 0.02), -73.9 + rng.uniform(0, 0.02)) for i in range(1500)]
+    p = spark.createDataFrame(points, "id int, lat double, lon double")
+    z = spark.createDataFrame(zips, "zip string, lat double, lon double")
+    kept, store = {}, joins.stored
+
+    def watched(frame, name):
+        kept.setdefault(name, []).append(store(frame, name))
+        return kept[name][-1]
+
+    monkeypatch.setattr(joins, "stored", watched)
+    got = joins.nearest_zip(p, z, 3.0, most=0)
+    # All lie within reach of each other: matched by reach alone, they'd meet in 2.7 million pairs.
+    open_squares = (F.col("_rivals") > joins.FEW_RIVALS) & (F.col("_points") > joins.FEW_POINTS)
+    met = [f.where(~open_squares).agg(F.sum(F.col("_points") * F.col("_rivals"))).first()[0] or 0 for f in kept["sizes"]]
+    assert sum(met) <= 64 * len(points)
+    assert max(f.count() for f in kept["near"]) <= 40 * len(zips)
+    found = dict(rows(got, "id", "zip"))
+    assert len(found) == len(points)
+    assert sorted(found.items())[:60] == brute_force(points[:60], zips, 3.0)
+
+
 def test_no_zips_at_all(spark, rows):
     p = spark.createDataFrame([(1, 40.7, -73.9)], "id int, lat double, lon double")
     z = spark.createDataFrame([], "zip string, lat double, lon double")
