@@ -18,6 +18,9 @@ TREES = 50
 DEPTH = 10
 SEED = 235498149
 
+# Rows that one task learns from; each carries its bins and its weight in every tree.
+TASK_ROWS = 50_000
+
 
 def assembler(features=FEATURES, invalid="skip"):
     """Features as one vector; rows with a null feature are skipped."""
@@ -32,9 +35,19 @@ def forest(trees=TREES, depth=DEPTH, seed=SEED):
     )
 
 
+def dealt(rows):
+    """The rows dealt evenly over tasks, about ``TASK_ROWS`` to each at most.
+
+    A learner reads its input as it is partitioned, again at every level, and
+    a small file can hold rows that are large once they are unpacked.
+    """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+    return rows.repartition(tasks)
+
+
 def train_forest(counts, trees=TREES, depth=DEPTH, seed=SEED):
     """Schema of the input and the fitted pipeline."""
-    model = Pipeline(stages=[assembler(), forest(trees, depth, seed)]).fit(counts)
+    model = Pipeline(stages=[assembler(), forest(trees, depth, seed)]).fit(dealt(counts))
     return counts.schema, model
 
 
@@ -46,13 +59,13 @@ def train_categorical(counts, category="zip", numeric=("weekday", "hour"), trees
     stages = [
         index, one_hot, assembler([f"{category}_vector", *numeric]), forest(trees, depth, seed),
     ]
-    return Pipeline(stages=stages).fit(counts)
+    return Pipeline(stages=stages).fit(dealt(counts))
 
 
 def train_stump(counts, seed=SEED):
     """One split of one tree over all rows and features: what a search over all splits finds."""
     stump = forest(1, 1, seed).setBootstrap(False).setFeatureSubsetStrategy("all").setMaxBins(512)
-    return Pipeline(stages=[assembler(), stump]).fit(counts)
+    return Pipeline(stages=[assembler(), stump]).fit(dealt(counts))
 
 
 def fit_facts(scored, label="count", prediction="prediction"):

@@ -8,6 +8,7 @@ from ridecells.operators.cleaning import (
 )
 from ridecells.operators.counts import count_zip_conditions, unpack_cell
 from ridecells.operators.joins import join_weather, nearest_zip, weather_counts
+from ridecells.session import stored
 from ridecells.sinks.tables import write_csv, write_sorted_csv
 from ridecells.sinks.topics import publish_rides, write_topic
 from ridecells.sources.files import (
@@ -37,8 +38,8 @@ def training_table_from_files(spark, rides_path, weather_path, rides_schema=None
 def train_and_save(spark, rides_path, weather_path, model_path, *, trees=TREES, depth=DEPTH,
                    seed=SEED, rides_schema=None, weather_schema=None):
     """Fit the forest on ride and weather files and save it."""
-    counts = training_table_from_files(spark, rides_path, weather_path, rides_schema,
-                                       weather_schema)
+    counts = stored(training_table_from_files(spark, rides_path, weather_path, rides_schema,
+                                              weather_schema), "counts")
     _, model = train_forest(counts, trees, depth, seed)
     save_model(model, model_path)
     return model

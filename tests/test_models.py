@@ -261,6 +261,22 @@ def test_rows_with_a_null_feature_are_skipped(spark, conditions):
     assert forest.assembler().transform(holes).count() == 5
 
 
+def test_no_task_learns_from_a_whole_file(spark, monkeypatch):
+    rows = spark.range(0, 4000, 1, 1).select(*[
+        (F.col("id") * k % 11).cast("int").alias(name) for k, name in enumerate(forest.FEATURES, 2)],
+        (F.col("id") % 7).alias("count"))
+    monkeypatch.setattr(forest, "TASK_ROWS", 100)
+    seen, fit = [], forest.Pipeline.fit
+    monkeypatch.setattr(forest.Pipeline, "fit", lambda self, frame: seen.append(frame) or fit(self, frame))
+    forest.train_forest(rows, trees=2, depth=2)
+    forest.train_stump(rows)
+    forest.train_categorical(rows.withColumn("zip", F.col("hour").cast("string")))
+    for frame in seen:
+        sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) <= 200
+    assert len(seen) == 3
+
+
 def test_categorical_forest(spark):
     rows = [(str(10001 + i % 9), 1 + i % 7, i % 24, 1 + i % 5) for i in range(600)]
     frame = spark.createDataFrame(rows, "zip string, weekday int, hour int, count int")
