@@ -17,8 +17,6 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ridecells.llm.common import arrow_batch, arrow_schema, stored
@@ -31,6 +29,8 @@ STEP = 0.2
 SEED = 7
 #: Predicted 1 from this score on.
 THRESHOLD = 0.7
+#: Rows of a batch whose texts are held beside it at once.
+_ROWS_AT_ONCE = 256
 
 STATISTICS = [
     "log_chars", "upper", "digits", "spaces", "lines", "marks", "odd_signs", "beyond_ascii", "byte_entropy",
@@ -71,12 +71,19 @@ def statistics(text):
     ]
 
 
+def _slices(batches):
+    """The rows of the batches, few at a time, so that their texts aren't all held twice."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            yield batch.slice(at, _ROWS_AT_ONCE)
+
+
 def document_statistics(docs):
     """Stored rows doc_id, held_out and features, one per document row."""
     layout = "doc_id bigint, held_out boolean, features array<double>"
 
     def measure(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             yield arrow_batch([(doc_id, is_held_out(doc_id), statistics(text)) for doc_id, text in rows], schema)
 
@@ -150,6 +157,10 @@ def flat_trees(spark, model):
 
 def train(features, labels, trees=TREES, depth=DEPTH):
     """The classifier of ``labels.quality``, from rows that are not held out."""
+    # Imported here, since tasks that measure and score load this module but learn nothing.
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
     own = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.avg("quality") >= 0.5).cast("double").alias("label"))
     known = features.where(~F.col("held_out")).join(own, "doc_id")
@@ -191,7 +202,7 @@ def accepted(docs, labels, least=THRESHOLD):
     model, names = train(document_statistics(docs), labels), docs.columns
 
     def keep(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             numbers = [statistics(t) for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(model.score(np.array(numbers).reshape(len(numbers), -1)) >= least, pa.bool_())).select(names)
 

@@ -1,8 +1,11 @@
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pytest
 
+from ridecells.llm import quality
 from ridecells.llm.quality import THRESHOLD, STATISTICS, FlatTrees, accepted, classify, document_statistics, statistics, train
 from tests.llm.helpers import LONG, ODD_TEXTS, documents
 
@@ -108,3 +111,29 @@ def test_rejected_documents_go(tables, found):
     kept = accepted(*tables)
     assert kept.columns == tables[0].columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r["doc_id"] for r in found if r["predicted"])
+
+
+def test_tasks_load_no_learner():
+    """A task imports the module to measure texts; Spark's learners would take 50 MB of each worker."""
+    code = "import sys, ridecells.llm.quality; sys.exit('pyspark.ml' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], check=False).returncode == 0
+
+
+def test_few_texts_are_held_beside_a_batch(spark, tables, monkeypatch):
+    from pyspark.sql import functions as F
+
+    docs, labels = tables
+    whole = [r["doc_id"] for r in accepted(docs, labels).select("doc_id").orderBy("doc_id").collect()]
+    frame = docs.withColumn("doc_id", F.col("doc_id"))
+    seen = []
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, work, layout: seen.append(work) or self)
+    monkeypatch.setattr(quality, "document_statistics", lambda docs: None)
+    monkeypatch.setattr(quality, "train", lambda features, labels: quality.Constant(1.0))
+    accepted(frame, labels)
+    monkeypatch.undo()
+    batch = docs.limit(1000).toArrow().combine_chunks().to_batches()[0]
+    parts = list(seen[0]([batch]))
+    assert sum(p.num_rows for p in parts) == batch.num_rows == 1000
+    assert max(p.num_rows for p in parts) <= 256
+    assert parts[0].schema.names == docs.columns
+    assert 0 < len(whole) < docs.count()
