@@ -21,9 +21,13 @@ The symmetric difference of two classes is that of their differences, so two
 that link share some of the first elements of theirs, rare before frequent.
 
 The order only decides how many candidates arise: frequent shingles come last,
-by how often, the others by their hash. Frequent are those that several
-documents of one batch share, and those that stand in many prefixes under the
-order so far. Of either kind ``MOST_FREQUENT`` at most are known to all tasks.
+in steps by how often, and by their hash within a step. Every text is cut into
+shingles once; a set's smallest hashes, half as many again as its prefix, are
+kept and counted. Frequent are those that stand among many sets' smallest, or
+that several documents of one batch share. Only sets whose smallest hold too few
+rare shingles are cut from the text again, and kept and counted whole. All tasks
+know the frequent ones from maps of fixed size, where a rare shingle may pass for
+a frequent one, but for all sets alike.
 
 Nulls and texts without words have an empty set and are linked with nothing.
 Rows with a null id take part; a component of such rows alone has a null id.
@@ -38,9 +42,7 @@ from pyspark.sql import functions as F
 
 from ridecells.llm.common import KEYS, arrow_batch, arrow_schema, row_keys, stored
 
-#: Frequent shingles of a kind that are put last; a bound of what is sent to every task.
-MOST_FREQUENT = 1 << 17
-#: Prefixes that share a shingle before it counts as frequent.
+#: Sets whose smallest hashes share a shingle before it counts as frequent.
 _PREFIX_SHARE = 16
 #: Documents of one batch that share a shingle before it is counted as frequent.
 _BATCH_SHARE = 3
@@ -49,6 +51,9 @@ _KEPT_WORDS = 100_000
 #: Bits of the maps that keep most texts, and most shingles, from a join that then decides.
 _TEXT_BITS = 1 << 22
 _SHINGLE_BITS = 1 << 26
+#: Steps of frequency, each four times the one before, and the bits of each one's map.
+_STEPS = 6
+_STEP_BITS = 1 << 24
 
 
 class _WordHashes(dict):
@@ -96,15 +101,23 @@ def _prefix_size(n, percent):
     return min(n, n - _least_overlap(n, percent) + _asked(n))
 
 
+def _kept_size(n, percent):
+    """A set's smallest hashes that are kept, so that a prefix can leave out frequent ones."""
+    return min(n, _prefix_size(n, percent) * 3 // 2 + 4)
+
+
 def _rows(batch):
     """The rows of a batch one by one, so that its texts aren't all held twice."""
     for row in zip(*batch.columns):
         yield [value.as_py() for value in row]
 
 
-def _digests(docs, size):
-    """Stored rows: documents (their set's size and key), and shingles frequent in a batch."""
-    layout = "key_a bigint, key_b bigint, doc_id bigint, n bigint, set_key binary, shingle bigint, times bigint"
+def _digests(docs, size, percent):
+    """Stored rows: documents (their set's size and key), and shingles frequent in a batch.
+
+    ``least`` holds the smallest hashes of a set, once in a batch.
+    """
+    layout = "key_a bigint, key_b bigint, doc_id bigint, n bigint, set_key binary, least array<bigint>, shingle bigint, times bigint"
 
     def digest(batches):
         seen, kept, held = set(), [], 0
@@ -113,7 +126,7 @@ def _digests(docs, size):
             found, times = np.unique(np.concatenate(kept), return_counts=True) if kept else (np.zeros(0, np.uint64),) * 2
             often = times >= _BATCH_SHARE
             found, times = found[often].view(np.int64), times[often].astype(np.int64)
-            none = [pa.nulls(len(found), f.type) for f in list(schema)[:5]]
+            none = [pa.nulls(len(found), f.type) for f in list(schema)[:6]]
             return pa.RecordBatch.from_arrays([*none, pa.array(found), pa.array(times)], schema=schema)
 
         for batch in batches:
@@ -121,11 +134,13 @@ def _digests(docs, size):
             for key_a, key_b, doc_id, text in _rows(batch):
                 own = shingles(text, size)
                 key = xxhash.xxh3_128_digest(own.tobytes())
-                out.append((key_a, key_b, doc_id, len(own), key, None, None))
-                if key not in seen:
+                least = None
+                if len(own) and key not in seen:
+                    least = own[:_kept_size(len(own), percent)].view(np.int64)
                     seen.add(key)
                     kept.append(own)
                     held += len(own)
+                out.append((key_a, key_b, doc_id, len(own), key, least, None, None))
                 if held >= _BATCH_HASHES:
                     yield frequent()
                     seen, kept, held = set(), [], 0
@@ -136,61 +151,106 @@ def _digests(docs, size):
     return stored(docs.select(*row_keys(), "doc_id", "text").mapInArrow(digest, layout), "shingle-digests")
 
 
+class _BitMap:
+    """Which remainders the values of a column leave, known to all tasks: a bounded first filter."""
+
+    def __init__(self, frame, column, size):
+        bit = F.pmod(column, F.lit(size)) + 1
+        maps = frame.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+        bits = np.zeros(size // 8, np.uint8)
+        for row in maps.collect():
+            own = np.frombuffer(row["bits"], np.uint8)
+            bits[(row["bucket"] - 1) * len(own):row["bucket"] * len(own)] = own
+        self.size, self.bits = size, frame.sparkSession.sparkContext.broadcast(bits)
+
+    def may_hold(self, values):
+        at = values % self.size
+        return (self.bits.value[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
 class _Order:
-    """Frequent shingles, known to all tasks, and how often each was seen."""
-
-    def __init__(self, spark, counts):
-        rows = sorted(counts.items())
-        self.rows = spark.sparkContext.broadcast((np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.uint64)))
-
-    def first(self, own, n):
-        """The first n of a set's shingles, which come sorted by hash.
-
-        Mostly the smallest hashes hold enough that aren't frequent; else all are looked up.
-        """
-        for some in (own[:2 * n], own):
-            times = self._times(some)
-            rare = some[times == 0]
-            if len(rare) >= n:
-                return rare[:n].view(np.int64)
-        often = times > 0
-        often = own[often][np.argsort(times[often], kind="stable")]
-        return np.concatenate([rare, often])[:n].view(np.int64)
-
-    def _times(self, own):
-        frequent, times = self.rows.value
-        if not len(frequent):
-            return np.zeros(len(own), np.uint64)
-        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-        return np.where(frequent[at] == own, times[at], np.uint64(0))
-
-
-def _most(counted):
-    """Shingle to how often, for the most frequent ones."""
-    rows = counted.orderBy(F.desc("times"), "shingle").limit(MOST_FREQUENT).collect()
-    return {r["shingle"] % (1 << 64): r["times"] for r in rows}
-
-
-def _prefixes(docs, size, percent, order):
-    """Rows (set_key, gid, n, prefix), equal sets of a batch once."""
-    layout = "set_key binary, gid bigint, n bigint, prefix array<bigint>"
+    """How frequent shingles are, in steps, known to all tasks; the least frequent come first."""
+
+    def __init__(self, counted):
+        """Of rows (shingle, times)."""
+        most = [_PREFIX_SHARE * 4 ** i for i in range(_STEPS)]
+        self.maps = [_BitMap(counted.where(F.col("times") > times), "shingle", _STEP_BITS) for times in most]
+
+    def steps(self, hashes):
+        """The step of each shingle, 0 if it is rare."""
+        found = np.zeros(len(hashes), np.int8)
+        for bits in self.maps:
+            found += bits.may_hold(hashes)
+        return found
+
+
+def _settled(batch, percent, order):
+    """For each row (set_key, n, least): set_key, n and the prefix, or None where ``least`` holds too few rare shingles."""
+    lists = batch.column(2)
+    hashes, begin = lists.flatten().to_numpy(), 0
+    steps = order.steps(hashes)
+    for key, n, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), lists.value_lengths().to_pylist()):
+        own, step = hashes[begin:begin + held], steps[begin:begin + held]
+        begin += held
+        wanted = _prefix_size(n, percent)
+        first = own[np.argsort(step, kind="stable")] if held == n else own[step == 0]
+        yield key, n, first[:wanted] if len(first) >= wanted else None
+
+
+def _unsettled(sets, percent, order):
+    """(set_key, key_a) of the sets that have too few rare shingles among their smallest, one row each."""
+    layout = "set_key binary, key_a bigint"
+
+    def pick(batches):
+        for batch in batches:
+            short = [first is None for _, _, first in _settled(batch, percent, order)]
+            yield batch.select([0, 3]).filter(pa.array(short, pa.bool_()))
+
+    short = sets.mapInArrow(pick, layout).groupBy("set_key").agg(F.min("key_a").alias("key_a"))
+    return stored(short, "unsettled")
+
+
+def _whole_sets(docs, wanted, size):
+    """Stored (set_key, n, least) of the wanted rows' texts and some others', with all their shingles."""
+    layout = "set_key binary, n bigint, least array<bigint>"
+    near_by = _BitMap(wanted, "key_a", _TEXT_BITS)
 
     def cut(batches):
         for batch in batches:
             out, seen = [], set()
-            for text, in _rows(batch):
+            for (text,) in _rows(batch.filter(pa.array(near_by.may_hold(batch.column(0).to_numpy()))).select([1])):
                 own = shingles(text, size)
                 key = xxhash.xxh3_128_digest(own.tobytes())
-                if not len(own) or key in seen:
-                    continue
-                seen.add(key)
-                prefix = order.first(own, _prefix_size(len(own), percent))
-                gid = xxhash.xxh3_64_intdigest(prefix.tobytes() + len(own).to_bytes(8, "little")) - (1 << 63)
-                out.append((key, gid, len(own), prefix))
+                if len(own) and key not in seen:
+                    seen.add(key)
+                    out.append((key, len(own), own.view(np.int64)))
             yield arrow_batch(out, schema)
 
     schema = arrow_schema(layout)
-    return docs.select("text").mapInArrow(cut, layout)
+    return stored(docs.select(row_keys()[0], "text").mapInArrow(cut, layout), "whole-sets")
+
+
+def _prefixes(sets, percent, order):
+    """Stored (set_key, gid, n, prefix) of the sets that are settled."""
+    layout = "set_key binary, gid bigint, n bigint, prefix array<bigint>"
+
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for key, n, prefix in _settled(batch, percent, order):
+                if prefix is not None:
+                    gid = xxhash.xxh3_64_intdigest(prefix.tobytes() + n.to_bytes(8, "little")) - (1 << 63)
+                    out.append((key, gid, n, prefix))
+            yield arrow_batch(out, schema)
+
+    schema = arrow_schema(layout)
+    return stored(sets.select("set_key", "n", "least").mapInArrow(cut, layout), "prefixes")
+
+
+def _counted_in(sets, more_than):
+    each = sets.select(F.explode("least").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("times"))
+    return each.where(F.col("times") > more_than)
 
 
 def _fits(percent, n, other, place, other_place):
@@ -210,29 +270,13 @@ def _counted(pairs):
         F.col("shared") >= enough).select("gid", "other_gid")
 
 
-class _BitMap:
-    """Which remainders the values of a column leave, known to all tasks: a bounded first filter."""
-
-    def __init__(self, frame, column, size):
-        bit = F.pmod(column, F.lit(size)) + 1
-        maps = frame.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-        bits = np.zeros(size // 8, np.uint8)
-        for row in maps.collect():
-            own = np.frombuffer(row["bits"], np.uint8)
-            bits[(row["bucket"] - 1) * len(own):row["bucket"] * len(own)] = own
-        self.size, self.bits = size, frame.sparkSession.sparkContext.broadcast(bits)
-
-    def may_hold(self, values):
-        at = values % self.size
-        return (self.bits.value[at >> 3] >> (at & 7) & 1).astype(bool)
-
+def _shared_postings(prefixes, seen):
+    """Stored (shingle, gid, n, place) of the groups, without most shingles that one group alone has.
 
-def _shared_postings(prefixes):
-    """Stored (shingle, gid, n, place) of the groups, without most shingles that one group alone has."""
+    ``seen`` holds every shingle that several have.
+    """
     layout = "shingle bigint, gid bigint, n bigint, place int"
-    seen = prefixes.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("times"))
-    common = _BitMap(seen.where("times > 1"), "shingle", _SHINGLE_BITS)
+    common = _BitMap(seen, "shingle", _SHINGLE_BITS)
 
     def pick(batches):
         for batch in batches:
@@ -361,21 +405,28 @@ def near_duplicates(docs, size=5, percent=80):
     id reachable by links, itself included. ``kept`` holds for rows of one id
     and text in each component, the smallest id's, and for empty sets.
     """
-    digests = _digests(docs, size)
+    digests = _digests(docs, size, percent)
     rows = digests.where(F.col("set_key").isNotNull()).select("key_a", "key_b", "doc_id", "n", "set_key")
     frequent = digests.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("times").alias("times"))
-    counts = _most(frequent)
-    spread = _prefixes(docs, size, percent, _Order(docs.sparkSession, counts)).select(F.explode("prefix").alias("shingle"))
-    spread = spread.groupBy("shingle").agg(F.count("*").alias("times")).where(F.col("times") > _PREFIX_SHARE)
-    order = _Order(docs.sparkSession, {**counts, **_most(spread)})
-    prefixes = stored(_prefixes(docs, size, percent, order), "prefixes")
+    sets = digests.where(F.col("least").isNotNull()).select("set_key", "n", "least", "key_a")
+    seen = stored(_counted_in(sets, 1), "seen")
+    counted = stored(frequent.select("shingle", F.greatest("times", F.lit(_PREFIX_SHARE + 1)).alias("times")).union(
+        seen.where(F.col("times") > _PREFIX_SHARE)), "frequent")
+    order = _Order(counted)
+    whole = _whole_sets(docs, _unsettled(sets, percent, order), size)
+    order = _Order(stored(counted.union(_counted_in(whole, _PREFIX_SHARE)), "frequent"))
+    # That more shingles are known as frequent may leave other sets with too few.
+    left = _unsettled(sets, percent, order).join(whole, "set_key", "left_anti")
+    whole = whole.union(_whole_sets(docs, left, size))
+    from_texts = _prefixes(whole, percent, order)
+    prefixes = _prefixes(sets, percent, order).union(from_texts)
 
     owners = rows.where("n > 0").groupBy("set_key").agg(
         F.min(F.struct("key_a", "key_b")).alias("owner"),
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key_a", "key_b")).alias("first"))
     owners = stored(owners, "set-owners")
     classes = stored(prefixes.select("set_key", "gid").distinct(), "classes")
-    postings = _shared_postings(prefixes)
+    postings = _shared_postings(prefixes, seen.select("shingle").union(from_texts.select(F.explode("prefix"))))
     lists = stored(postings.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1"), "lists")
     shared = stored(postings.join(lists, "shingle"), "shared")
 

@@ -83,6 +83,21 @@ def test_copies_of_one_text_around_the_threshold(spark, rows, monkeypatch, size,
     assert max(met) < len(texts) * 8
 
 
+def test_a_passage_that_many_share_gives_no_candidates(spark, rows, monkeypatch):
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join([*(f"a{d}-{i}" for i in range(30)), passage, *(f"b{d}-{i}" for i in range(30))]) for d in range(40)]
+    met, plain = [], jaccard._differences
+
+    def counting(docs, members, *rest):
+        met.append(members.count())
+        return plain(docs, members, *rest)
+
+    monkeypatch.setattr(jaccard, "_differences", counting)
+    found = near_duplicates(documents(spark, texts).repartition(40), 3, 90)
+    assert rows(found, "doc_id", "n_shingles", "component_id") == [(d, 118, d) for d in range(40)]
+    assert met == [0]
+
+
 def test_prefixes_hold_the_shingles_asked_for():
     rng = random.Random(5)
     for _ in range(300):
