@@ -93,7 +93,8 @@ def test_a_passage_that_many_share_gives_no_candidates(spark, rows, monkeypatch)
         return plain(docs, members, *rest)
 
     monkeypatch.setattr(jaccard, "_differences", counting)
-    found = near_duplicates(documents(spark, texts).repartition(40), 3, 90)
+    monkeypatch.setattr(jaccard, "_BATCH_SHARE", 1 << 30)
+    found = near_duplicates(documents(spark, texts), 3, 90)
     assert rows(found, "doc_id", "n_shingles", "component_id") == [(d, 118, d) for d in range(40)]
     assert met == [0]
 
